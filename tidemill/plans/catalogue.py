@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemill.plans import pay_queries, shop_queries
+from tidemill.plans import collect_queries, pay_queries, quality_queries, shop_queries
 from tidemill.plans.query import Query
 
-QUERIES: dict[str, Query] = {q.key: q for q in [*shop_queries.QUERIES, *pay_queries.QUERIES]}
+QUERIES: dict[str, Query] = {q.key: q for q in [*shop_queries.QUERIES, *pay_queries.QUERIES, *collect_queries.QUERIES, *quality_queries.QUERIES]}
