@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemill.plans import collect_queries, pay_queries, quality_queries, shop_queries
+from tidemill.plans import collect_queries, flow_queries, pay_queries, quality_queries, shop_queries
 from tidemill.plans.query import Query
 
-QUERIES: dict[str, Query] = {q.key: q for q in [*shop_queries.QUERIES, *pay_queries.QUERIES, *collect_queries.QUERIES, *quality_queries.QUERIES]}
+_MODULES = (shop_queries, pay_queries, collect_queries, quality_queries, flow_queries)
+
+QUERIES: dict[str, Query] = {query.key: query for module in _MODULES for query in module.QUERIES}

@@ -122,6 +122,7 @@ STG_TRANSACTIONS = _schema(
 
 CDC_TABLES = ("users", "products", "orders", "order_items")
 
+# Marts hold a few rows per day however large the input is, so they are sorted by date rather than split by it.
 # layer -> table -> (schema, partition column, sort columns inside a partition)
 LAYERS = {
     "raw": {
@@ -138,8 +139,8 @@ LAYERS = {
         "user_events": (STAGING_USER_EVENTS, "event_date", ("event_type", "user_id")),
     },
     "mart": {
-        "daily_sales": (MART_DAILY_SALES, "order_date", ()),
-        "daily_funnel": (MART_DAILY_FUNNEL, "event_date", ()),
+        "daily_sales": (MART_DAILY_SALES, None, ("order_date",)),
+        "daily_funnel": (MART_DAILY_FUNNEL, None, ("event_date",)),
     },
     "monitoring": {"data_quality_checks": (QUALITY_CHECKS, "checked_date", ())},
 }

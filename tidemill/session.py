@@ -32,6 +32,7 @@ def local_session(name: str = "tidemill", cores: int = 8, shuffle_partitions: in
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.streaming.stateStore.maintenanceInterval", "1h")
     )
     for key, value in RUNTIME.items():

@@ -308,29 +308,39 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pick(given(spark, sf_dir, "part"), PRODUCTS)
 
 
-def _versions(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    given_name, versions = CHANGES[table]
+def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a file stream. The pattern matches one file as well as a folder of files."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path}*")
+
+
+def _versions_of(df: DataFrame, table: str) -> DataFrame:
+    versions = CHANGES[table][1]
     options = [
         f"case when {applies} then named_struct('op', '{op}', 'changed_at', {at}, 'before', {before}, "
         f"'after', {after}) end"
         for op, applies, at, before, after in versions
     ]
-    return given(spark, sf_dir, given_name).selectExpr(f"inline(array_compact(array({', '.join(options)})))")
+    return df.selectExpr(f"inline(array_compact(array({', '.join(options)})))")
 
 
-def change_messages(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def change_messages_of(df: DataFrame, table: str) -> DataFrame:
     """Change envelopes of one table as JSON text, one scan of the given table."""
-    return _versions(spark, sf_dir, table).selectExpr(
+    return _versions_of(df, table).selectExpr(
         f"""'{{"before":' || coalesce(before, 'null') || ',"after":' || coalesce(after, 'null')
         || ',"source":{{"table":"{table}","db":"shop"}},"op":"' || op || '","ts_ms":'
         || cast(unix_millis(changed_at) as string) || '}}' as value"""
     )
 
 
+def change_messages(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return change_messages_of(given(spark, sf_dir, CHANGES[table][0]), table)
+
+
 def changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """Change rows of one table as the raw layer stores them."""
     labels = "case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'SNAPSHOT' end"
-    return _versions(spark, sf_dir, table).selectExpr(
+    return _versions_of(given(spark, sf_dir, CHANGES[table][0]), table).selectExpr(
         f"'{table}' as cdc_table",
         f"{labels} as cdc_operation",
         "changed_at as cdc_timestamp",
