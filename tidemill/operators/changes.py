@@ -11,7 +11,9 @@ from tidemill.functions.exprs import json_scalar, typed
 from tidemill.functions.keyed import first_per_key
 from tidemill.operators.collect import message_text
 
-ENVELOPE = "before string, after string, source struct<table: string, db: string>, op string, ts_ms bigint"
+ENVELOPE = (
+    "before string, after string, source struct<table: string, db: string>, op string, ts_ms bigint, _broken string"
+)
 
 # Operation codes and their labels.
 OPERATIONS = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
@@ -76,17 +78,18 @@ def with_decimal_money(fields: Fields) -> Fields:
 def parse_cdc(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split messages into (change events, dead letters); a message that is no JSON object is dead."""
     text = message_text(raw)
-    parsed = raw.withColumn("_c", F.from_json(text, ENVELOPE)).withColumn(
-        "_ok", F.json_object_keys(text).isNotNull()
+    # parsed once per message, see collect._parsed
+    envelope = F.from_json(text, ENVELOPE, {"columnNameOfCorruptRecord": "_broken"})
+    parsed = raw.select("value", text.alias("_text"), F.inline(F.array(envelope)))
+    is_object = F.coalesce(F.col("_broken").isNull() & F.ltrim("_text").startswith("{"), F.lit(False))
+    good = parsed.filter(is_object).select(
+        F.coalesce("source.table", F.lit("unknown")).alias("table_name"),
+        F.coalesce("op", F.lit("?")).alias("op"),
+        "before",
+        "after",
+        F.coalesce("ts_ms", F.lit(0)).alias("ts_ms"),
     )
-    good = parsed.filter("_ok").select(
-        F.coalesce("_c.source.table", F.lit("unknown")).alias("table_name"),
-        F.coalesce("_c.op", F.lit("?")).alias("op"),
-        F.col("_c.before").alias("before"),
-        F.col("_c.after").alias("after"),
-        F.coalesce("_c.ts_ms", F.lit(0)).alias("ts_ms"),
-    )
-    dead = parsed.filter(~F.col("_ok")).select(
+    dead = parsed.filter(~is_object).select(
         F.make_valid_utf8(F.col("value").cast("string")).alias("raw_data")
     )
     return good, dead
@@ -101,7 +104,7 @@ def cdc_operation_label(op: Column) -> Column:
 
 def _document(text: Column) -> Column:
     """JSON text, or NULL when it is absent or an empty object."""
-    return F.when(F.coalesce(F.size(F.json_object_keys(text)), F.lit(0)) > 0, text)
+    return F.when(~text.rlike(r"^\s*\{\s*\}\s*$"), text)
 
 
 def cdc_to_row(events: DataFrame, now: Column | None = None) -> DataFrame:

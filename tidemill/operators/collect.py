@@ -32,12 +32,21 @@ def message_text(df: DataFrame, column: str = "value") -> Column:
     return col
 
 
-def _parsed(raw: DataFrame) -> DataFrame:
-    parsed = raw.withColumn("_event", F.from_json(message_text(raw), EVENT_MESSAGE))
+def _parsed(raw: DataFrame, *keep: str) -> DataFrame:
+    """Message columns next to the ``keep`` columns; all NULL where the message is no JSON object.
+
+    The generator makes Spark parse a message once: a plain filter on parsed columns would be pushed below the
+    projection together with a copy of the parse for every column it mentions.
+    """
+    event = F.from_json(message_text(raw), EVENT_MESSAGE)
+    return raw.select(*keep, F.inline(F.array(event)))
+
+
+def _complete() -> Column:
     complete = F.lit(True)
     for key in REQUIRED_KEYS:
-        complete = complete & F.col(f"_event.{key}").isNotNull()
-    return parsed.withColumn("_ok", F.coalesce(complete, F.lit(False)))
+        complete = complete & F.col(key).isNotNull()
+    return complete
 
 
 def parse_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,10 +54,11 @@ def parse_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A message is an event when it is a JSON object in which the required keys are present and not null.
     """
-    parsed = _parsed(raw)
-    events = parsed.filter("_ok").select("_event.*")
-    dead = parsed.filter(~F.col("_ok")).select(
-        F.make_valid_utf8(F.col("value").cast("string")).alias("raw_data")
+    events = _parsed(raw).filter(_complete())
+    dead = (
+        _parsed(raw, "value")
+        .filter(~_complete())
+        .select(F.make_valid_utf8(F.col("value").cast("string")).alias("raw_data"))
     )
     return events, dead
 
@@ -56,7 +66,7 @@ def parse_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_counters(raw: DataFrame) -> DataFrame:
     """One row: parsed_ok, parse_errors."""
     return _parsed(raw).agg(
-        F.count_if("_ok").alias("parsed_ok"), F.count_if(~F.col("_ok")).alias("parse_errors")
+        F.count_if(_complete()).alias("parsed_ok"), F.count_if(~_complete()).alias("parse_errors")
     )
 
 
@@ -124,13 +134,12 @@ def validate_events(events: DataFrame) -> DataFrame:
 
 _TYPED = (
     "product_id bigint, product_name string, category string, price double, order_id bigint, "
-    "total_amount double, item_count bigint, payment_method string, search_query string, result_count bigint"
+    "total_amount double, item_count bigint, payment_method string, search_query string, result_count string"
 )
 
 
 def validate_typed_events(events: DataFrame) -> DataFrame:
     """Type-specific property rules; adds ``errors`` and ``result_count`` (0 where a search omits it)."""
-    p = F.from_json("properties", _TYPED)
     kind = F.col("event_type")
 
     def needed(event_type: str, field: str) -> Column:
@@ -143,9 +152,9 @@ def validate_typed_events(events: DataFrame) -> DataFrame:
         "item_count": needed("purchase", "item_count"),
         "search_query": needed("search", "search_query"),
     }
-    count = F.coalesce(F.col("_p.result_count"), F.get_json_object("properties", "$.result_count").try_cast("bigint"))
+    count = F.col("_p.result_count").try_cast("bigint")
     return (
-        events.withColumn("_p", p)
+        events.withColumn("_p", F.from_json("properties", _TYPED))
         .withColumn("errors", _errors(rules))
         .withColumn("result_count", F.when(kind == "search", F.coalesce(count, F.lit(0))))
         .drop("_p")

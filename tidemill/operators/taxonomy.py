@@ -36,25 +36,22 @@ def validate_event_schema(raw: DataFrame, payment_methods: tuple[str, ...] = PAY
     top-level key outside the schema. ``not_an_object`` stands alone: nothing else can be judged then.
     """
     text = message_text(raw)
+    members = ", ".join(f"{name} string" for name in REQUIRED)
+    message = f"{members}, properties struct<amount: string, payment_method: string>"
+    parsed = raw.withColumn("_m", F.from_json(text, message)).withColumn("_keys", F.json_object_keys(text))
 
     def key(name: str) -> Column:
-        return F.get_json_object(text, f"$.{name}")
+        return F.col(f"_m.{name}")
 
-    def optional(name: str, ok: Column) -> Column:
-        return key(name).isNull() | ok
-
-    keys = F.json_object_keys(text)
     known = F.array(*[F.lit(k) for k in (*REQUIRED, *OPTIONAL)])
     rules = {name: F.length(key(name)) >= 1 for name in REQUIRED}
     rules["event_name"] = key("event_name").rlike(NAME_PATTERN)
     rules["event_timestamp"] = F.try_to_timestamp(key("event_timestamp")).isNotNull()
     rules["device_type"] = key("device_type").isin(*DEVICES)
     rules["app_version"] = key("app_version").rlike(VERSION_PATTERN)
-    amount = key("properties.amount")
-    rules["amount"] = optional("properties.amount", amount.rlike(r"^\d+$"))
-    method = key("properties.payment_method")
-    rules["payment_method"] = optional("properties.payment_method", method.isin(*payment_methods))
-    rules["unknown_key"] = F.size(F.array_except(keys, known)) == 0
-    return raw.withColumn(
-        "errors", F.when(keys.isNull(), F.array(F.lit("not_an_object"))).otherwise(_errors(rules))
-    )
+    amount, method = key("properties.amount"), key("properties.payment_method")
+    rules["amount"] = amount.isNull() | amount.rlike(r"^\d+$")
+    rules["payment_method"] = method.isNull() | method.isin(*payment_methods)
+    rules["unknown_key"] = F.size(F.array_except("_keys", known)) == 0
+    errors = F.when(F.col("_keys").isNull(), F.array(F.lit("not_an_object"))).otherwise(_errors(rules))
+    return parsed.withColumn("errors", errors).drop("_m", "_keys")

@@ -14,7 +14,8 @@ EVENTS_AS_OF = "2024-01-31"
 EVENTS_AS_OF_TS = "2024-01-31 00:00:00"
 ORDERS_AS_OF = "2001-08-02"
 
-K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
+# props is the text {"k": n}
+K = "cast(replace(substr(props, 7), '}', '') as int)"
 SESSION = "'s-' || cast(user_id as string) || '-' || cast(cast(ts as date) as string)"
 _AMOUNT = "cast(cast(value as decimal(12,2)) as string)"
 
