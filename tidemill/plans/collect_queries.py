@@ -90,10 +90,6 @@ def _cdc(spark, sf):
     return c.parse_cdc(t.change_messages(spark, sf, "orders"))[0]
 
 
-def _after(name: str):
-    return F.get_json_object("after_data", f"$.{name}")
-
-
 _LABEL = "CASE op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' WHEN 'r' THEN 'SNAPSHOT' ELSE 'UNKNOWN' END"
 _CDC = """m AS (SELECT json_extract_string(value, '$.source.table') AS table_name, json_extract_string(value, '$.op') AS op,
     CAST(json_extract_string(value, '$.ts_ms') AS BIGINT) AS ts_ms,
@@ -235,8 +231,8 @@ QUERIES = [
         lambda sp, sf: c.cdc_to_row(_cdc(sp, sf), now=moment(NOW)).select(
             "cdc_table", "cdc_operation", "cdc_timestamp",
             F.col("before_data").isNotNull().alias("has_before"),
-            _after("order_id").cast("bigint").alias("order_id"),
-            _after("total_amount").cast("double").alias("total_amount"),
+            F.col("cols")["order_id"].cast("bigint").alias("order_id"),
+            F.col("cols")["total_amount"].cast("double").alias("total_amount"),
             F.get_json_object("raw_payload", "$.order_status").alias("payload_status"),
             F.col("cols")["delivery_type"].alias("col_delivery_type"),
             "ingested_at",

@@ -15,6 +15,7 @@ from tidemill.operators import checks, collect, payments
 from tidemill.plans import daily
 from tidemill.plans.collect_queries import _EN, _JS
 from tidemill.plans.lake import Lake
+from tidemill.plans.pay_queries import _REVENUE_SQL
 from tidemill.plans.pay_queries import staged as staged_pay
 from tidemill.plans.quality_queries import _ALL_SQL, _FRESH_SQL, _all_checks, _freshness
 from tidemill.plans.query import Query
@@ -291,6 +292,13 @@ _BATCH_SQL = f"""WITH o AS (SELECT {_j("x", "order_id", "BIGINT")} AS order_id,
             / nullif(count(DISTINCT o.order_id), 0) AS cancellation_rate
     FROM o LEFT JOIN i ON o.order_id = i.order_id LEFT JOIN p ON i.product_id = p.product_id GROUP BY 1, 2, 3, 4"""
 
+_RUN_SQL = f"""SELECT 'daily_batch' AS pipeline_name, 'success' AS status, 7 AS runs, 0 AS errors,
+    (SELECT count(*) FROM {_latest("orders", _STATE["o"])}) + (SELECT count(*) FROM {_latest("products", _STATE["p"])})
+    + (SELECT count(*) FROM {_latest("order_items", _STATE["i"])})
+    + (SELECT count(*) FROM {_latest("users", "json_extract_string(after_data, '$.user_id')")})
+    + (SELECT count(DISTINCT event_id) FROM user_events) + (SELECT count(*) FROM ({_BATCH_SQL}))
+    + (SELECT count(*) FROM (SELECT DISTINCT {_D}, device_type FROM user_events_once)) AS rows_processed"""
+
 QUERIES = [
     Query("source_events_stream", _source_events_stream, _en(_JS_OK)),
     Query("source_cdc_stream", _source_cdc_stream, _CHANGE_ROWS + "cdc_orders"),
@@ -419,9 +427,20 @@ QUERIES = [
     ),
     Query("sink_quality_results", _sink_quality, _ALL_SQL, "metric_value"),
     Query("daily_batch", _run_batch, _BATCH_SQL, **_SALES_TYPES),
-    Query("payment_metrics", _payment_metrics, None),
-    Query("run_metrics", _run_metrics),
-    Query("sla_alerts", _sla),
+    Query(
+        "payment_metrics",
+        _payment_metrics,
+        f"SELECT dt, paying_users, net_revenue FROM ({_REVENUE_SQL})",
+        ints="net_revenue",
+    ),
+    Query("run_metrics", _run_metrics, _RUN_SQL, ints="runs errors rows_processed"),
+    Query(
+        "sla_alerts",
+        _sla,
+        f"""SELECT 'DataFreshnessSLABreach' AS alert, 'critical' AS severity, table_name AS subject,
+        CAST(freshness_minutes AS DOUBLE) AS value FROM ({_FRESH_SQL}) WHERE freshness_minutes > 30""",
+        "value",
+    ),
 ]
 
 

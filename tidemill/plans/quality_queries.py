@@ -286,5 +286,12 @@ QUERIES = [
     Query(
         "schema_drift",
         lambda sp, sf: q.schema_drift(t.given(sp, sf, "events"), schemas.RAW_USER_EVENTS),
+        """SELECT v.*, CASE WHEN actual IS NULL THEN 0 ELSE (SELECT count(*) FROM events) END AS filled_rows FROM (VALUES
+        ('event_id', 'string', 'bigint'), ('event_timestamp', 'timestamp', NULL), ('session_id', 'string', NULL),
+        ('device_type', 'string', NULL), ('device_id', 'string', NULL), ('app_version', 'string', NULL),
+        ('page_url', 'string', NULL), ('referrer', 'string', NULL), ('utm_source', 'string', NULL),
+        ('utm_medium', 'string', NULL), ('utm_campaign', 'string', NULL), ('properties', 'string', NULL),
+        ('ingested_at', 'timestamp', NULL), ('ts', NULL, 'timestamp_ntz'), ('value', NULL, 'double'),
+        ('props', NULL, 'string')) v("column", expected, actual)""",
     ),
 ]
