@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is unset (tests, one
     machine) does a local temporary folder stand in.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         return tempfile.mkdtemp(prefix=f"tidemill-{purpose}-")
     unique = spark.sql("SELECT uuid()").first()[0]
