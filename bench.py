@@ -1,4 +1,4 @@
-"""Time the headline queries: one warm-up run each, then the median of three. Prints one JSON line."""
+"""Time the headline queries: one warm-up run each, then the median of BENCH_RUNS (1). Prints one JSON line."""
 
 from __future__ import annotations
 
@@ -31,12 +31,13 @@ def run_once(spark, key: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = int(os.environ.get("BENCH_CPUS", "8"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     keys = sys.argv[1:] or HEADLINE
     spark = local_session("tidemill-bench", cores=cores, shuffle_partitions=cores)
     times = {}
     for key in keys:
         run_once(spark, key, sf_dir)
-        times[key] = round(statistics.median(run_once(spark, key, sf_dir) for _ in range(3)), 3)
+        times[key] = round(statistics.median(run_once(spark, key, sf_dir) for _ in range(runs)), 3)
     result = {
         "metric": "total_seconds",
         "value": round(sum(times.values()), 3),
