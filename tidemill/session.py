@@ -45,11 +45,13 @@ def local_session(name: str = "tidemill", cores: int = 8, shuffle_partitions: in
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is unset (tests, one
-    machine) does a local temporary folder stand in.
+    The cluster names its shared folder in ``spark.checkpoint.dir``. Only where that is unset on a
+    single-machine master does a local temporary folder stand in; elsewhere that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return tempfile.mkdtemp(prefix=f"tidemill-{purpose}-")
     unique = spark.sql("SELECT uuid()").first()[0]
     return f"{base.rstrip('/')}/tidemill/{purpose}-{unique}"
