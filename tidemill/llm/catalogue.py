@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemill.llm import exact_dedup, langid, mixing, packing
+import corpus_pipeline
+from tidemill.llm import exact_dedup, langid, mixing, ngram_join, packing
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +12,8 @@ QUERIES = {
         mixing.op2_mix_sources,
         packing.op8_pack_sequences,
         langid.op9_language_id,
+        ngram_join.op10_ngram_join,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.session import shared_folder
@@ -42,6 +42,27 @@ def side(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if fits(df, row_bytes) else df
 
 
+def repeat_rows(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as often as ``copies`` (doc_id, row_hash, copies) says; the columns stay as they are.
+
+    Rows that share doc_id and text have one decision together: the sum of theirs.
+    """
+    keys = ["doc_id", "row_hash"]
+    decided = copies.groupBy(*keys).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    decided = written(decided.toDF("_id", "_hash", "_copies", "_rows"), "decisions")
+    repeated = decided.filter("_rows > 1").limit(1).count()
+    wanted = side(decided.filter("_copies > 0"), 40)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (row_hash() == F.col("_hash"))
+    kept = docs.join(wanted, same)
+    if repeated:
+        turn = F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash"))
+        kept = kept.withColumn("_turn", turn).filter("_turn = 1")
+    every = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")
+    if decided.filter("_copies > 1").limit(1).count():
+        kept = kept.select(*docs.columns, every)
+    return kept.select(*docs.columns)
+
+
 def text_or_empty() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
@@ -106,31 +127,34 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _powers(n: int, base: int) -> np.ndarray:
+    """base**0 .. base**n modulo 2**64; the longest asked for so far is kept."""
+    if base not in _POWERS or len(_POWERS[base]) <= n:
+        out = np.full(n + 1, np.uint64(base))
+        out[0] = 1
+        _POWERS[base] = np.multiply.accumulate(out)
+    return _POWERS[base][: n + 1]
 
 
 class Spans:
     """Hashes of arbitrary ranges of one byte (or symbol) array in constant time each.
 
-    Polynomial prefix sums modulo 2**64 over randomised symbols; a range's sum is shifted to a common power, so
-    equal contents have equal hashes wherever they stand. The result is mixed over all bits.
+    Polynomial prefix sums modulo 2**64 over randomised symbols; a range's sum is divided by the power of its start, so
+    equal contents have equal hashes wherever they stand, in any block. The result is mixed over all bits.
     """
 
-    def __init__(self, symbols: np.ndarray, table: np.ndarray | None = None):
-        self.values = (table if table is not None else BYTE_CODES)[symbols]
-        self.top = len(symbols)
-        self.powers = _powers(self.top)
-        self.sums = np.zeros(self.top + 1, np.uint64)
-        np.cumsum(self.values * self.powers[: self.top], out=self.sums[1:])
+    def __init__(self, symbols: np.ndarray, base: int = _BASE):
+        n = len(symbols)
+        self.inverse = _powers(n, pow(base, -1, 1 << 64))
+        self.sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(BYTE_CODES[symbols] * _powers(n, base)[:n], out=self.sums[1:])
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        raw = (self.sums[end] - self.sums[start]) * self.powers[self.top - start]
+        raw = (self.sums[end] - self.sums[start]) * self.inverse[start]
         return mix64(raw + mix64((end - start).astype(np.uint64)))
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.keyed import top_per_key
 from tidemill.llm.common import blocks, documents, held_out
@@ -33,6 +34,7 @@ UNDETERMINED = "und"
 _FACTORS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
 _LETTER = regex.compile(r"\p{L}")
 _PAD = 1 << BITS
+_FOUND = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
 def _classes() -> np.ndarray:
@@ -123,23 +125,26 @@ def score_texts(texts: list[str | None], langs: list[str], matrix: np.ndarray, c
     return names, np.where(known, posterior, 0.0)
 
 
-def identify(docs: DataFrame, labelled: DataFrame | None = None, rows_per_lang: int = ROWS_PER_LANG) -> DataFrame:
-    """doc_id, row_hash, lang_pred and score of every row of ``docs``; learns from ``labelled`` (default: itself)."""
+def identify(
+    docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), labelled: DataFrame | None = None, rows_per_lang: int = ROWS_PER_LANG
+) -> DataFrame:
+    """The ``carry`` columns of every row with lang_pred and score; learns from ``labelled`` (default: ``docs``)."""
     spark = docs.sparkSession
     learn = docs if labelled is None else labelled
     model = spark.sparkContext.broadcast(log_matrix(fit_counts(learn, rows_per_lang)))
-    out = pa.schema([("doc_id", pa.int64()), ("row_hash", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+    rows = docs.select(*carry, F.col("text").alias("_text"))
+    out = T.StructType([*docs.select(*carry).schema.fields, *_FOUND.fields])
+    names = out.names
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, matrix = model.value
         classes = _classes()
-        for block in blocks(batches):
-            names, scores = score_texts(block.column("text").to_pylist(), langs, matrix, classes)
-            arrays = [block.column("doc_id"), block.column("row_hash"), pa.array(names, pa.string()), pa.array(scores)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=out)
+        for block in blocks(batches, "_text"):
+            found, scores = score_texts(block.column("_text").to_pylist(), langs, matrix, classes)
+            arrays = [*block.columns[:-1], pa.array(found, pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_hash"), "text")
-    return rows.mapInArrow(predict, "doc_id bigint, row_hash bigint, lang_pred string, score double")
+    return rows.mapInArrow(predict, out)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
