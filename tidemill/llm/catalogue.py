@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemill.llm import exact_dedup, langid, mixing, ngram_join, packing
+from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         exact_dedup.op1_exact_dedup,
         mixing.op2_mix_sources,
+        fingerprints.op3_fingerprints,
+        toxicity.op6_toxicity,
         packing.op8_pack_sequences,
         langid.op9_language_id,
         ngram_join.op10_ngram_join,
