@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, toxicity
+from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, suffix_dedup, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         exact_dedup.op1_exact_dedup,
         mixing.op2_mix_sources,
         fingerprints.op3_fingerprints,
+        suffix_dedup.op4_suffix_dedup,
         toxicity.op6_toxicity,
         packing.op8_pack_sequences,
         langid.op9_language_id,
