@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, suffix_dedup, toxicity
+from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, pii, secrets, suffix_dedup, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -12,7 +12,9 @@ QUERIES = {
         mixing.op2_mix_sources,
         fingerprints.op3_fingerprints,
         suffix_dedup.op4_suffix_dedup,
+        secrets.op5_secret_scan,
         toxicity.op6_toxicity,
+        pii.op7_pii_surrogates,
         packing.op8_pack_sequences,
         langid.op9_language_id,
         ngram_join.op10_ngram_join,
