@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.operators import changes
 from tidemill.operators import collect as k
 from tidemill.plans import daily
 from tidemill.plans.lake import Lake
@@ -128,4 +129,53 @@ def test_gate_stops_the_payment_job(spark, sf, tmp_path):
         daily.run_payment_metrics(lake, t.pay_events(spark, sf), t.EVENTS_AS_OF)
     assert not lake.exists("mart", "mart_revenue")
     log = lake.read("monitoring", "run_log").collect()
-    assert {r.status for r in log} == {"success"}
+    assert {r.status for r in log if r.table_name != "quality_gate"} == {"success"}
+    assert [r.status for r in log if r.table_name == "quality_gate"] == ["error"]
+
+
+def test_bad_times_do_not_drop_later_events(spark, tmp_path):
+    src = tmp_path / "in"
+    for i, (name, day) in enumerate((("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5))):
+        lines = [_event(i, f"s{day}", f"2024-01-0{day}T00:00:10Z")]
+        if name == "a":
+            lines += [_event(90, "bad", "bad"), _event(91, "ahead", "2124-01-01T00:00:00Z")]
+        _write(src, f"{name}.txt", lines)
+    options = {"maxFilesPerTrigger": "1"}
+    messages = sources.source_events_stream(spark, str(src), "text", options)
+    jobs.aggregate_sessions(messages, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    sessions = {r.session_id for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert sessions == {"s1", "s2", "s3", "s4"}
+    messages = sources.source_events_stream(spark, str(src), "text", options)
+    jobs.store_untimed(messages, f"{tmp_path}/rest", f"{tmp_path}/cp2").awaitTermination()
+    assert {r.session_id for r in spark.read.parquet(f"{tmp_path}/rest").collect()} == {"bad", "ahead"}
+
+
+def test_retention_looks_at_the_last_day_of_a_folder(spark, tmp_path):
+    days = spark.range(62).selectExpr("id", "cast(date_add(date'2023-12-01', cast(id as int)) as timestamp) as event_timestamp")
+    lake = Lake(spark, str(tmp_path), date_unit="month")
+    months = days.withColumn("event_date", F.to_date(F.date_trunc("month", "event_timestamp")))
+    lake.ctas_replace(months, "raw", "user_events", "event_date")
+    dropped = lake.expire_raw_partitions("user_events", "2024-01-16", days=10)
+    assert [str(r.partition_date) for r in dropped.collect()] == ["2023-12-01"]
+    assert lake.read("raw", "user_events").count() == 26
+    rows = days.selectExpr("'orders' as cdc_table", "to_date(event_timestamp) as cdc_date", "event_timestamp as cdc_timestamp")
+    rows.write.partitionBy("cdc_table", "cdc_date").parquet(f"{tmp_path}/raw/changes")
+    assert lake.expire_raw_partitions("changes", "2024-01-16", days=10, unit="day").count() == 36
+    assert spark.read.parquet(f"{tmp_path}/raw/changes").count() == 26
+
+
+def test_changes_without_a_key_are_reported(spark, sf):
+    good = t.changes(spark, sf, "users")
+    bad = good.limit(2).withColumn("after_data", F.lit("{broken")).withColumn("before_data", F.lit(None).cast("string"))
+    both = good.unionByName(bad)
+    assert changes.without_key(both, "user_id").count() == 2
+    state = changes.latest_state(both, "user_id", changes.USER_FIELDS, quarantine=True)
+    assert state.count() == changes.stg_users(good).count() and state.filter("user_id IS NULL").count() == 0
+    assert changes.stg_users(both).filter("user_id IS NULL").count() == 1
+
+
+def test_empty_documents(spark):
+    texts = ["{}", " { } ", "{\n}", '{"a":1}', "", None]
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    kept = frame.withColumn("d", changes._document(F.col("x"))).filter("d IS NOT NULL").collect()
+    assert [r.i for r in kept] == [3, 4]

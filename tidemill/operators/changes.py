@@ -103,8 +103,9 @@ def cdc_operation_label(op: Column) -> Column:
 
 
 def _document(text: Column) -> Column:
-    """JSON text, or NULL when it is absent or an empty object."""
-    return F.when(~text.rlike(r"^\s*\{\s*\}\s*$"), text)
+    """JSON text, or NULL when it is absent or an empty object. Only short texts can be an empty object with blanks."""
+    bare = F.when(F.length(text) <= 64, F.translate(text, " \t\r\n", "")).otherwise(F.btrim(text))
+    return F.when(bare != "{}", text)
 
 
 def cdc_to_row(events: DataFrame, now: Column | None = None) -> DataFrame:
@@ -122,6 +123,15 @@ def cdc_to_row(events: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
+def without_key(changes: DataFrame, key: str) -> DataFrame:
+    """Change rows whose document does not hold the key (broken JSON, an empty object): a dead-letter output.
+
+    ``latest_state`` ranks them together under one missing key; pass ``quarantine`` there to leave them out.
+    """
+    value = F.coalesce(json_scalar(F.col("after_data"), key), json_scalar(F.col("before_data"), key))
+    return changes.filter(value.isNull())
+
+
 def latest_state(
     changes: DataFrame,
     key: str,
@@ -129,9 +139,12 @@ def latest_state(
     drop_deleted: bool = False,
     now: Column | None = None,
     with_stamps: bool = True,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Current rows of one source table from its change log.
 
+    Rows without a key make one row with a missing key; with ``quarantine`` they are left out, see ``without_key``.
+
     By default DELETE rows are set aside before ranking, so a deleted row shows its last live state.
     With ``drop_deleted`` they take part in the ranking and a row whose last change is a DELETE disappears.
     """
@@ -142,10 +155,9 @@ def latest_state(
     else:
         key_value = json_scalar(after, key)
         live = changes.filter(F.col("cdc_operation") != "DELETE")
+    keyed = live.select(key_value.alias("_key"), "cdc_operation", "cdc_timestamp", "ingested_at", "after_data")
     ranked = first_per_key(
-        live.select(
-            key_value.alias("_key"), "cdc_operation", "cdc_timestamp", "ingested_at", "after_data"
-        ),
+        keyed.filter("_key IS NOT NULL") if quarantine else keyed,
         ["_key"],
         [F.desc("cdc_timestamp"), F.desc("ingested_at"), F.desc("after_data")],
     )

@@ -73,7 +73,8 @@ def parse_counters(raw: DataFrame) -> DataFrame:
 def enrich_events(events: DataFrame, now: Column | None = None, version: str = "1.0.0") -> DataFrame:
     """Normalise the type and derive date parts; an unusable timestamp falls back to ``now``.
 
-    ``event_time`` is the time to window on: it is never null, so no event is lost to windowing.
+    ``event_time`` is the time to window on: it is never null, so no event is lost to windowing in a batch. Streams
+    window only rows whose own time is usable, see ``timed``.
     """
     now = F.current_timestamp() if now is None else now
     stamp = F.col("event_timestamp")
@@ -90,6 +91,28 @@ def enrich_events(events: DataFrame, now: Column | None = None, version: str = "
     )
 
 
+def usable_time(events: DataFrame, tolerance: str = "1 hour") -> Column:
+    """Whether a row's time may move a watermark: it was given, and lies at most ``tolerance`` after processing."""
+    if not {"event_timestamp", "processed_at"} <= set(events.columns):
+        return F.lit(True)
+    limit = F.col("processed_at") + F.expr(f"INTERVAL {tolerance}")
+    return F.coalesce(F.col("event_timestamp") <= limit, F.lit(False))
+
+
+def timed(events: DataFrame, time_col: str, watermark: str) -> DataFrame:
+    """Streaming rows with a usable time, under a watermark.
+
+    The fallback to the processing time (``enrich_events``) and clocks that run ahead would carry the watermark past a
+    backlog or a replay, whose rows were then late and lost. Such rows go down their own path: ``untimed``.
+    """
+    return events.filter(usable_time(events)).withWatermark(time_col, watermark)
+
+
+def untimed(events: DataFrame) -> DataFrame:
+    """The rows that ``timed`` leaves out of windows; in the raw table they stand under their processing date."""
+    return events.filter(~usable_time(events))
+
+
 def session_window_agg(events: DataFrame, window: str = "60 seconds", watermark: str | None = None) -> DataFrame:
     """Per fixed window and session: counts, types, first user and device, time span, purchase flag.
 
@@ -97,7 +120,7 @@ def session_window_agg(events: DataFrame, window: str = "60 seconds", watermark:
     measure is a plain partial aggregate.
     """
     if events.isStreaming:
-        events = events.withWatermark("event_time", watermark or "10 minutes")
+        events = timed(events, "event_time", watermark or "10 minutes")
     order = F.struct("event_time", "event_id")
     return (
         events.groupBy(F.window("event_time", window).alias("_w"), "session_id")
@@ -239,7 +262,7 @@ def error_rate_alert(
 ) -> DataFrame:
     """Windows whose share of errors exceeds the threshold."""
     if events.isStreaming:
-        events = events.withWatermark(time_col, watermark)
+        events = timed(events, time_col, watermark)
     counted = (
         events.select(F.col(time_col), flag(is_error).alias("_bad"))
         .groupBy(F.window(time_col, window).alias("_w"))

@@ -42,6 +42,10 @@ class RunLog:
     def _add(self, table: str, status: str, rows: int, started: float, error: str | None) -> None:
         self.entries.append((self.job, table, status, rows, time.perf_counter() - started, error))
 
+    def fail(self, table: str, error: str) -> None:
+        """Record a step that stopped the run without an exception of its own."""
+        self._add(table, "error", 0, time.perf_counter(), error)
+
     def frame(self) -> DataFrame:
         return self.lake.spark.createDataFrame(self.entries, RUN_LOG)
 
@@ -96,6 +100,7 @@ def run_payment_metrics(lake: Lake, raw_events: DataFrame, as_of: Day, gate: boo
     results = rules.dq_suite_run(transactions, rules.transactions_suite(), "transactions_suite")
     stored = table("monitoring", "suite_results", results)
     if gate and alerts.should_halt(stored):
+        log.fail("quality_gate", "a P0 transaction rule failed")
         log.save()
         raise QualityGateFailure("a P0 transaction rule failed")
     sessions = payments.int_user_sessions(events)

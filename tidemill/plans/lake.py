@@ -139,22 +139,54 @@ class Lake:
                 created.append((layer, name))
         return self.spark.createDataFrame(created, "layer string, table_name string")
 
-    def expire_raw_partitions(self, name: str, as_of: Day, days: int = 90, layer: str = "raw") -> DataFrame:
-        """Drop date partitions older than ``days`` before ``as_of``; returns the dropped dates.
+    def expire_raw_partitions(
+        self, name: str, as_of: Day, days: int = 90, layer: str = "raw", unit: str | None = None
+    ) -> DataFrame:
+        """Drop rows older than ``days`` before ``as_of``; returns the dropped date folders.
 
-        Works on folder names only: the number of steps is the number of dates, and no data file is read.
+        A folder goes when its last day is before the cutoff; ``unit`` is its width (default: this lake's). One folder per
+        parent can hold the cutoff itself: its older rows are removed by rewriting that folder beside and swapping it in.
+        Date folders are found at any depth, so a table split by another column first is expired too. Otherwise only folder
+        names are looked at.
         """
+        unit = unit or self.date_unit
         cutoff = day(as_of) - timedelta(days=days)
-        fs, path = self._fs(self.path(layer, name))
         dropped = []
-        for status in fs.listStatus(path):
-            label = status.getPath().getName()
-            key, _, value = label.partition("=")
-            if value and value[:4].isdigit() and day(value) < cutoff:
-                fs.delete(status.getPath(), True)
-                dropped.append((name, key, day(value)))
+        for fs, path, column, first in list(self._date_folders(self.path(layer, name))):
+            if _last_day(first, unit) < cutoff:
+                fs.delete(path, True)
+                dropped.append((name, column, first))
+            elif first < cutoff:
+                self._cut_folder(fs, path, column, cutoff)
         return self.spark.createDataFrame(dropped, "table_name string, partition_column string, partition_date date")
 
+    def _date_folders(self, location: str):
+        fs, path = self._fs(location)
+        for status in fs.listStatus(path):
+            column, _, value = status.getPath().getName().partition("=")
+            if status.isDirectory() and value[:4].isdigit() and value[4:5] == "-":
+                yield fs, status.getPath(), column, day(value)
+            elif status.isDirectory() and value:
+                yield from self._date_folders(status.getPath().toString())
+
+    def _cut_folder(self, fs, path, column: str, cutoff) -> None:
+        rows = self.spark.read.parquet(path.toString())
+        source = _PARTITION_SOURCE.get(column, column)
+        if source not in rows.columns:
+            return
+        time = F.to_date(F.col(source))
+        aside = path.suffix("-kept")
+        rows.filter(time.isNull() | (time >= F.lit(cutoff))).write.mode("overwrite").parquet(aside.toString())
+        fs.delete(path, True)
+        fs.rename(aside, path)
+
+
+def _last_day(first, unit: str):
+    if unit == "day":
+        return first
+    after = first.replace(day=1) + timedelta(days=32) if unit == "month" else first.replace(month=12, day=31) + timedelta(days=1)
+    return after.replace(day=1) - timedelta(days=1)
+
 
 # partition column -> timestamp it is derived from
 _PARTITION_SOURCE = {

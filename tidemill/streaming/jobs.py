@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from tidemill.functions.exprs import flag, json_scalar, ratio, typed
+from tidemill.functions.keyed import first_per_key
 from tidemill.operators.changes import cdc_to_row, parse_cdc
-from tidemill.operators.collect import enrich_events, parse_events, session_window_agg
+from tidemill.operators.collect import enrich_events, parse_events, session_window_agg, timed, untimed
 from tidemill.streaming import sinks
 
 
@@ -48,6 +50,12 @@ def aggregate_sessions(
     return sinks.sink_session_aggs(session_window_agg(events, window, watermark), path, checkpoint, interval)
 
 
+def store_untimed(messages: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Events whose time is missing, unreadable or ahead of the clock: the part that windowed jobs leave out."""
+    events = untimed(enrich_events(parse_events(messages)[0]))
+    return sinks.sink_raw_events(events, path, checkpoint, interval)
+
+
 def cdc_microbatch(
     messages: DataFrame,
     path: str,
@@ -66,7 +74,7 @@ def cdc_microbatch(
         batch = batch.select("value").persist()
         try:
             good, dead = parse_cdc(batch)
-            sinks.sink_cdc_fanout(cdc_to_row(good).drop("cols"), batch_id, path, date_unit)
+            sinks.sink_cdc_fanout(cdc_to_row(good), batch_id, path, date_unit)
             sinks.sink_dead_letter(dead, dead_path, batch_id)
         finally:
             batch.unpersist()
@@ -78,10 +86,16 @@ def cdc_microbatch(
 def dedup_delivery(
     events: DataFrame, key: str = "event_id", time_col: str = "event_time", watermark: str = "10 minutes"
 ) -> DataFrame:
-    """Drop redelivered events. State keeps a key only until the watermark passes it."""
+    """Drop redelivered events; of a batch the earliest of an id stays. State keeps a key only until the watermark
+    passes it; a stream's rows without a usable time are not in the result, see ``store_untimed``."""
     if events.isStreaming:
-        return events.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
-    return events.dropDuplicates([key])
+        return timed(events, time_col, watermark).dropDuplicatesWithinWatermark([key])
+    rest = [F.col(c) for c in events.columns if c not in (key, time_col) and _orderable(events.schema[c].dataType)]
+    return first_per_key(events, [key], [F.col(time_col), *rest])
+
+
+def _orderable(kind) -> bool:
+    return not isinstance(kind, (MapType, VariantType, StructType, ArrayType))
 
 
 def trending_search_stream(
@@ -94,7 +108,7 @@ def trending_search_stream(
 ) -> DataFrame:
     """Search terms per sliding window. Users are counted with a sketch, which a stream can merge."""
     if events.isStreaming:
-        events = events.withWatermark(time_col, watermark)
+        events = timed(events, time_col, watermark)
     results = json_scalar(F.col("properties"), "result_count")
     searches = events.filter(F.col("event_type") == "search").select(
         time_col,
