@@ -42,7 +42,8 @@ FORCED_PENALTY = 24
 SEQUENCE_PENALTY = 16
 STRIDE = 64
 BLOCK_TOKENS = 1 << 20
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 800_000
+LEAST_POWER = 5
 # The split pattern of the vocabulary's own file, used only to count the pieces of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -84,7 +85,7 @@ class WordTokens:
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [w.decode("utf-8", "replace") for w in words]
-        counts = [len(self.pieces.findall(t.lower())) for t in texts]
+        counts = [1 if (t := text.lower()).isalpha() else len(self.pieces.findall(t)) for text in texts]
         for a in range(0, len(words), 2000):
             self._add(words[a : a + 2000], texts[a : a + 2000], np.array(counts[a : a + 2000]))
 
@@ -108,7 +109,8 @@ class WordTokens:
         """Ids of all texts one after another, without separators, and the n + 1 offsets of the texts."""
         if len(self.index) > self.limit:
             self.forget()
-        words = [t.split() for t in texts]
+        # The vocabulary is lower case, so forms that differ in A-Z alone are one word; a special token's name is not.
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         flat = [w for own in words for w in own]
         new = [w for w in dict.fromkeys(flat) if w not in self.index]
         if new:
@@ -127,6 +129,16 @@ class WordTokens:
         return ids, offsets
 
 
+_LOADED: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """One table of words for all tasks that a Python worker runs."""
+    if path not in _LOADED:
+        _LOADED[path] = WordTokens(path)
+    return _LOADED[path]
+
+
 def candidates(doc_ends: np.ndarray, stops: np.ndarray, n: int, width: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
     """Cut positions in (0, n] and their penalties. Position p stands after the p-th token of the block."""
     at = np.concatenate([doc_ends, stops, [0, n]])
@@ -140,7 +152,7 @@ def candidates(doc_ends: np.ndarray, stops: np.ndarray, n: int, width: int, last
     if last and n:
         # Binary digits of what a window leaves at the end, so that the remainder can do without padding.
         rest, here, digits = n % width, n - n % width, []
-        for k in range(int(width).bit_length() - 2, 2, -1):
+        for k in range(int(width).bit_length() - 2, LEAST_POWER - 1, -1):
             if rest & (1 << k):
                 here += 1 << k
                 digits.append(here)
@@ -157,7 +169,7 @@ def cut(at: np.ndarray, cost: np.ndarray, width: int) -> list[int]:
     """Positions of the cheapest cuts, first 0 and last ``at[-1]``."""
     n = len(at)
     extra: dict[int, list[int]] = {}
-    for k in range(int(width).bit_length() - 1):
+    for k in range(LEAST_POWER, int(width).bit_length() - 1):
         found = np.searchsorted(at, at - (1 << k))
         hit = (found < n) & (at[np.minimum(found, n - 1)] == at - (1 << k))
         for j in np.flatnonzero(hit).tolist():
@@ -250,7 +262,7 @@ def pack(docs: DataFrame, width: int = WIDTH, vocabulary: str | None = None) ->
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(WordTokens(path), width, TaskContext.get().partitionId() << 36)
+        packer = Packer(word_tokens(path), width, TaskContext.get().partitionId() << 36)
 
         def shaped(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
