@@ -3,14 +3,16 @@
 1. Copies: rows with the same text become one node (grouped by two hashes of the text).
 2. Order: shingles that many documents share are put last. How common a shingle is, is counted on a sample of nodes;
    the table of common shingles is bounded and only decides the order, never the result.
-3. Prefixes: two sets with likeness t share a shingle among the first n - ceil(t n) + 1 of each in one common order, so
-   only these are shuffled. Nodes that share one are candidates; within a shingle, sorted by set size, only neighbours
-   whose sizes can meet the threshold are tied, each to the first of its run: as many ties as rows, no pairs.
-4. Candidate groups are the components of the ties. Each group's sets go to one task, which indexes them by shingle and
-   runs DivideSkip: the overlap T a partner must reach is known, the longest inverted lists are set aside, the short
-   ones are merged, nodes that reach T minus the number of long lists are probed in these by binary search.
+3. Prefixes: sets of n shingles with likeness t share at least k among the first n - ceil(t n) + k of each in one common
+   order (k: a tenth of n), so only these are shuffled. Within a shingle, sorted by set size, neighbours whose sizes can
+   meet the threshold are tied, each to the first of its run: as many ties as rows, no pairs.
+4. Families: ties that several shingles repeat make groups. Each group's sets go to one task, which indexes them by
+   shingle and runs DivideSkip: the overlap T a partner must reach is known, the longest inverted lists are set aside,
+   the short ones are merged, nodes that reach T minus the number of long lists are probed in these by binary search.
    Nodes already in one component are not compared again.
-5. A group too large for a task is cut into blocks. Rounds of query nodes (twice as many each round, bounded) are
+5. The rest: shingles inside one family are done with. A node can have a link out of its family only if k of its prefix
+   shingles lie in other families too; nodes that pass (twice over) are tied and searched in the same way.
+6. A group too large for a task is cut into blocks. Rounds of query nodes (twice as many each round, bounded) are
    searched against all blocks; nodes of the largest component so far need no search of their own. It ends when every
    node was searched or belongs to that component, so no link between components is lost.
 
@@ -35,12 +37,14 @@ from tidemill.llm.components import components
 
 WORDS = 5
 PERCENT = 75
+SHARED_PERCENT = 10
+STRONG_PERCENT = 5
 SAMPLE_DOCS = 20_000
 COMMON_LIMIT = 200_000
-GROUP_ROWS = 3000
+GROUP_ROWS = 20_000
 GROUP_SHINGLES = 3_000_000
 BLOCK_ROWS = 1000
-FIRST_QUERIES = 32
+FIRST_QUERIES = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -102,7 +106,7 @@ class Order:
 
     def prefix(self, own: np.ndarray, percent: int) -> np.ndarray:
         n = len(own)
-        length = n - -(-percent * n // 100) + 1 if n else 0
+        length = n - -(-percent * n // 100) + max(1, SHARED_PERCENT * n // 100) if n else 0
         maybe = np.flatnonzero(self.hint[(own >> np.uint64(44)).astype(np.int64)])
         if len(maybe):
             at = np.searchsorted(self.shingles, own[maybe])
@@ -162,9 +166,12 @@ class Index:
         return candidates[candidates >= 0]
 
 
-def link_group(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """Component number (the first member's place) of each set of a group."""
-    root = np.arange(len(sets))
+def link_group(sets: list[np.ndarray], labels: list[int], percent: int = PERCENT) -> np.ndarray:
+    """Component number (the first member's place) of each set of a group; equal labels are linked already."""
+    place: dict[int, int] = {}
+    root = np.array([place.setdefault(label, i) for i, label in enumerate(labels)])
+    if len(place) == 1:
+        return root
     index = Index(sets, percent)
     for i, own in enumerate(sets):
         other = root != root[i]
@@ -193,24 +200,26 @@ def _search_groups(percent: int):
     """Streams groups sorted by number; a group is complete when the next begins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, nodes, sets = None, [], []
+        group, nodes, labels, sets = None, [], [], []
 
         def finish() -> pa.RecordBatch:
-            root = link_group(sets, percent)
+            root = link_group(sets, labels, percent)
             ids = np.array(nodes, np.int64)
             least = np.full(len(ids), np.iinfo(np.int64).max)
             np.minimum.at(least, root, ids)
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(least[root])], names=["node", "root"])
+            other = least[root] != ids
+            return pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(least[root][other])], names=["u", "v"])
 
         for batch in batches:
-            keys, own, blobs = (batch.column(c).to_pylist() for c in ("root", "node", "shingles"))
-            for key, node, blob in zip(keys, own, blobs):
+            columns = [batch.column(c).to_pylist() for c in ("root", "node", "label", "shingles")]
+            for key, node, label, blob in zip(*columns):
                 if key != group:
                     if len(nodes) > 1:
                         yield finish()
-                    group, nodes, sets = key, [], []
+                    group, nodes, labels, sets = key, [], [], []
                 if not nodes or nodes[-1] != node:
                     nodes.append(node)
+                    labels.append(label)
                     sets.append(np.frombuffer(blob, np.uint64))
         if len(nodes) > 1:
             yield finish()
@@ -250,23 +259,25 @@ def _search_blocks(percent: int):
     return run
 
 
-def _link_large(sets: DataFrame, percent: int, block_rows: int, first_queries: int) -> DataFrame | None:
-    """Links of groups that are cut into blocks; ``sets`` has root, node, shingles and is a written table."""
+def _link_large(sets: DataFrame, percent: int, block_rows: int, first_queries: int) -> DataFrame:
+    """Links of groups that are cut into blocks; ``sets`` has root, node, label, shingles and is a written table."""
     size = sets.groupBy("root").agg(F.count("*").alias("_rows"))
     size = written(size.withColumn("_blocks", F.ceil(F.col("_rows") / block_rows).cast("int")), "join-blocks")
     dealt = sets.join(side(size, 32), "root").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
     )
     every_block = size.select("root", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
-    searched, links, count = None, None, first_queries
+    links = written(sets.filter("node != label").select(F.col("node").alias("u"), F.col("label").alias("v")), "join-links")
+    searched, count = None, first_queries
     while True:
-        state = sets.select("root", "node")
-        if links is not None:
-            labels = written(components(links), "join-labels").select("node", F.col("root").alias("label"))
-            state = state.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            sizes = state.groupBy("root", "label").agg(F.count("*").alias("_n"))
-            main = sizes.groupBy("root").agg(F.max(F.struct("_n", "label"))["label"].alias("main"))
-            state = state.join(main, "root").filter("label != main").join(searched, "node", "left_anti")
+        labels = written(components(links), "join-labels").select("node", F.col("root").alias("main_label"))
+        state = sets.select("root", "node").join(labels, "node", "left")
+        state = state.withColumn("main_label", F.coalesce("main_label", "node"))
+        sizes = state.groupBy("root", "main_label").agg(F.count("*").alias("_n"))
+        main = sizes.groupBy("root").agg(F.max(F.struct("_n", "main_label"))["main_label"].alias("main"))
+        state = state.join(main, "root").filter((F.col("main_label") != F.col("main")) | F.lit(searched is None))
+        if searched is not None:
+            state = state.join(searched, "node", "left_anti")
         queries = top_per_key(state, ["root"], [F.xxhash64("node"), F.col("node")], count)
         queries = written(queries.select("root", "node"), "join-queries")  # count rows of each group at most
         if not queries.limit(1).count():
@@ -277,12 +288,23 @@ def _link_large(sets: DataFrame, percent: int, block_rows: int, first_queries: i
         work = work.unionByName(dealt.withColumn("is_query", F.lit(False)).select(*columns))
         work = work.repartition("root", "block").sortWithinPartitions("root", "block", F.desc("is_query"))
         found = written(work.mapInArrow(_search_blocks(percent), "u bigint, v bigint"), "join-links")
-        links = found if links is None else links.unionByName(found)
+        links = links.unionByName(found)
         now = queries.select("node")
         searched = now if searched is None else searched.unionByName(now)
         count = min(2 * count, block_rows)
 
 
+def _tied(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries (node, n, shingle) that share their shingle, with ``u``: the first of the run of sizes they belong to."""
+    by_size = Window.partitionBy("shingle").orderBy("n", "node")
+    smaller = F.lag("n").over(by_size)
+    begins = smaller.isNull() | (smaller * 100 < F.col("n") * percent)
+    shared = smaller.isNotNull() | F.lead("n").over(by_size).isNotNull()
+    marked = entries.withColumn("_first", F.when(begins, F.col("node"))).withColumn("_shared", shared)
+    first = F.last("_first", ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn("u", first).filter("_shared").select("node", "n", "shingle", "u")
+
+
 def ngram_components(
     docs: DataFrame,
     words: int = WORDS,
@@ -333,39 +355,55 @@ def ngram_components(
 
     heads = of_nodes(nodes).mapInArrow(prefixes, "node bigint, n bigint, prefix array<bigint>")
     heads = written(heads, "join-prefixes")
-    by_size = Window.partitionBy("shingle").orderBy("n", "node")
-    entries = heads.select("node", "n", F.explode("prefix").alias("shingle"))
-    smaller = F.lag("n").over(by_size)
-    begins = smaller.isNull() | (smaller * 100 < F.col("n") * percent)
-    tied = entries.withColumn("_first", F.when(begins, F.col("node")))
-    first = F.last("_first", ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, 0))
-    ties = tied.withColumn("u", first).filter("u != node").select("u", F.col("node").alias("v")).distinct()
-    groups = components(ties)
     sizes = heads.groupBy("node").agg(F.max("n").alias("n"))
-    groups = written(groups.join(sizes, "node"), "join-groups")
-    totals = groups.groupBy("root").agg(F.count("*").alias("_rows"), F.sum("n").alias("_all"))
-    small = (F.col("_rows") <= group_rows) & (F.col("_all") <= group_shingles)
-    totals = written(totals.withColumn("small", small | (F.col("_rows") <= 2)), "join-totals")
-    wanted = nodes.join(groups.select("node", "root"), "node").join(side(totals.select("root", "small"), 24), "root")
-    wanted = written(wanted.select("h1", "h2", "least_id", "node", "root", "small"), "join-wanted")
+    entries = heads.select("node", "n", F.explode("prefix").alias("shingle"))
+    entries = written(_tied(entries, percent), "join-entries")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, limit=1 << 20):
             blobs = pa.array([s.tobytes() for s in _sets_of(block, words)], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [block.column("root"), block.column("node"), blobs], names=["root", "node", "shingles"]
-            )
-
-    shipped = "root bigint, node bigint, shingles binary"
-    sets = of_nodes(wanted.filter("small").drop("small")).mapInArrow(full, shipped)
-    sets = sets.repartition("root").sortWithinPartitions("root", "node")
-    found = written(sets.mapInArrow(_search_groups(percent), "node bigint, root bigint"), "join-found")
-    if totals.filter("NOT small").limit(1).count():
-        large = of_nodes(wanted.filter("NOT small").drop("small")).mapInArrow(full, shipped)
-        large = written(large.dropDuplicates(["node"]), "join-large")
-        links = _link_large(large, percent, block_rows, first_queries)
-        if links is not None:
-            found = found.unionByName(components(links))
+            names = ["root", "node", "label"]
+            yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), blobs], names=[*names, "shingles"])
+
+    def links_of(ties: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """(u, v) links that connect all linked nodes of each component of the ties."""
+        groups = written(components(ties).join(sizes, "node"), "join-groups")
+        totals = groups.groupBy("root").agg(F.count("*").alias("_rows"), F.sum("n").alias("_all"))
+        small = (F.col("_rows") <= group_rows) & (F.col("_all") <= group_shingles)
+        totals = written(totals.withColumn("small", small | (F.col("_rows") <= 2)), "join-totals")
+        wanted = nodes.join(groups.select("node", "root"), "node").join(side(totals.select("root", "small"), 24), "root")
+        if labels is None:
+            wanted = wanted.withColumn("label", F.col("node"))
+        else:
+            wanted = wanted.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        wanted = written(wanted.select("h1", "h2", "least_id", "node", "label", "root", "small"), "join-wanted")
+        shipped = "root bigint, node bigint, label bigint, shingles binary"
+        sets = of_nodes(wanted.filter("small").drop("small")).mapInArrow(full, shipped)
+        sets = sets.repartition("root").sortWithinPartitions("root", "node")
+        found = written(sets.mapInArrow(_search_groups(percent), "u bigint, v bigint"), "join-found")
+        if totals.filter("NOT small").limit(1).count():
+            large = of_nodes(wanted.filter("NOT small").drop("small")).mapInArrow(full, shipped)
+            large = written(large.dropDuplicates(["node"]), "join-large")
+            found = found.unionByName(_link_large(large, percent, block_rows, first_queries))
+        return found
+
+    ties = entries.filter("u != node").groupBy("u", F.col("node").alias("v")).agg(
+        F.count("*").alias("_times"), F.max("n").alias("_n")
+    )
+    found = links_of(ties.filter(F.col("_times") * 100 >= F.col("_n") * STRONG_PERCENT).select("u", "v"), None)
+    labels = written(components(found), "join-labels").select("node", F.col("root").alias("label"))
+    # A link out of a family needs this many prefix shingles in common with a set of at least t n members.
+    at_least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * SHARED_PERCENT / 100))
+    rest = entries.select("node", "n", "shingle").join(labels, "node", "left")
+    rest = rest.withColumn("label", F.coalesce("label", "node"))
+    for _ in range(2):
+        families = rest.groupBy("shingle").agg(F.min("label").alias("_a"), F.max("label").alias("_b"))
+        rest = rest.join(families.filter("_a != _b").select("shingle"), "shingle", "left_semi")
+        able = rest.groupBy("node").agg(F.count("*").alias("_times"), F.max("n").alias("n"))
+        rest = written(rest.join(able.filter(F.col("_times") >= at_least).select("node"), "node", "left_semi"), "join-rest")
+    ties = _tied(rest, percent).filter("u != node").select("u", F.col("node").alias("v")).distinct()
+    more = links_of(ties, labels)
+    found = written(components(found.unionByName(more)), "join-links")
     ids = nodes.select("node", "least_id")
     linked = found.join(ids, "node")
     least = linked.groupBy("root").agg(F.min("least_id").alias("component"))
