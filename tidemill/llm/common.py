@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,16 @@ BROADCAST_BYTES = 24 << 20
 BLOCK_BYTES = 4 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers that start on this machine import the package; a cluster ships it to its executors."""
+    known = spark.sparkContext.environment
+    here = str(Path(__file__).resolve().parents[2])
+    if here not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [here, known.get("PYTHONPATH", "")]))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -27,7 +27,7 @@ from tidemill.llm.common import blocks, documents, held_out
 
 BITS = 16
 GRAMS = (1, 2, 3)
-ROWS_PER_LANG = 2000
+ROWS_PER_LANG = 1000
 MAX_LANGS = 400
 UNDETERMINED = "und"
 

@@ -31,7 +31,7 @@ from tidemill.llm.common import documents, row_hash, side, text_or_empty, word_c
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 5_000
 LANDING = 12
 _EPS = 1e-9
 
