@@ -19,7 +19,7 @@ from tidemill.plans.pay_queries import _REVENUE_SQL
 from tidemill.plans.pay_queries import staged as staged_pay
 from tidemill.plans.quality_queries import _ALL_SQL, _FRESH_SQL, _all_checks, _freshness
 from tidemill.plans.query import Query
-from tidemill.plans.shop_queries import _EVENT_COLS, _SALES_TYPES, _staged
+from tidemill.plans.shop_queries import _EVENT_COLS, _SALES_TYPES, _staged, sales_sql
 from tidemill.session import shared_folder
 from tidemill.sources import driver_tables as t
 from tidemill.sources.tables import source_events_file, source_table
@@ -283,14 +283,8 @@ _BATCH_SQL = f"""WITH o AS (SELECT {_j("x", "order_id", "BIGINT")} AS order_id,
     p AS (SELECT {_j("x", "product_id", "BIGINT")} AS product_id, {_j("x", "category_l1")} AS category_l1,
         {_j("x", "storage_type")} AS storage_type FROM {_latest("products", _STATE["p"])} AS x),
     i AS (SELECT {_j("x", "order_id", "BIGINT")} AS order_id, {_j("x", "product_id", "BIGINT")} AS product_id,
-        {_j("x", "quantity", "BIGINT")} AS quantity FROM {_latest("order_items", _STATE["i"])} AS x)
-    SELECT CAST(o.ordered_at AS DATE) AS order_date, o.delivery_type, p.category_l1, p.storage_type,
-        count(DISTINCT o.order_id) AS order_count, count(DISTINCT o.user_id) AS unique_customers,
-        sum(o.total_amount) AS total_revenue, avg(o.total_amount) AS avg_order_value, sum(i.quantity) AS total_items_sold,
-        count(DISTINCT CASE WHEN o.order_status = 'CANCELLED' THEN o.order_id END) AS cancelled_orders,
-        CAST(count(DISTINCT CASE WHEN o.order_status = 'CANCELLED' THEN o.order_id END) AS DOUBLE)
-            / nullif(count(DISTINCT o.order_id), 0) AS cancellation_rate
-    FROM o LEFT JOIN i ON o.order_id = i.order_id LEFT JOIN p ON i.product_id = p.product_id GROUP BY 1, 2, 3, 4"""
+        {_j("x", "quantity", "BIGINT")} AS quantity FROM {_latest("order_items", _STATE["i"])} AS x),
+    """ + sales_sql("o", "i", "p")
 
 _RUN_SQL = f"""SELECT 'daily_batch' AS pipeline_name, 'success' AS status, 7 AS runs, 0 AS errors,
     (SELECT count(*) FROM {_latest("orders", _STATE["o"])}) + (SELECT count(*) FROM {_latest("products", _STATE["p"])})

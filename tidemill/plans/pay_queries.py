@@ -55,28 +55,29 @@ _ARPPU_TYPES = {
 
 
 def _net_of_staged(body: str) -> str:
-    return f"""WITH ref AS (SELECT transaction_id, sum(amount) AS refund FROM stg_transactions
-        WHERE transaction_status = 'REFUNDED' GROUP BY 1),
-    net AS (SELECT {_D} AS dt, c.user_id, c.transaction_id, c.amount AS gross, coalesce(ref.refund, 0) AS refund,
-        c.amount - coalesce(ref.refund, 0) AS net, c.payment_method, c.merchant_category, c.is_first_payment
-        FROM stg_transactions c LEFT JOIN ref ON c.transaction_id = ref.transaction_id
-        WHERE c.transaction_status = 'COMPLETED' AND c.payment_method <> 'transfer'
-        AND c.amount - coalesce(ref.refund, 0) > 0) {body}"""
+    """Completed payments with what is left of them after all refunds of the same transaction."""
+    return f"""WITH paid AS (SELECT *, amount - coalesce((SELECT sum(back.amount) FROM stg_transactions AS back
+            WHERE back.transaction_status = 'REFUNDED' AND back.transaction_id = t.transaction_id), 0) AS net
+        FROM stg_transactions AS t WHERE transaction_status = 'COMPLETED' AND NOT payment_method = 'transfer'),
+    net AS (SELECT {_D} AS dt, user_id, transaction_id, amount AS gross, amount - net AS refund, net, payment_method,
+        merchant_category, is_first_payment FROM paid WHERE net > 0) {body}"""
 
 
-_REVENUE_COLS = f"""dt, count(DISTINCT user_id) AS paying_users, count(*) AS total_transactions,
-    sum(gross) AS gross_revenue, sum(refund) AS total_refunds, sum(net) AS net_revenue,
-    {div("sum(net)", "count(DISTINCT user_id)")} AS arppu, {div("sum(net)", "count(*)")} AS avg_txn_amount,
-    count(DISTINCT CASE WHEN is_first_payment THEN user_id END) AS new_paying_users,
-    {pc("count(DISTINCT CASE WHEN is_first_payment THEN user_id END)", "count(DISTINCT user_id)")} AS new_paying_user_pct,
-    {pc("count(*) FILTER (WHERE payment_method = 'card')", "count(*)")} AS card_pct,
-    {pc("count(*) FILTER (WHERE payment_method = 'bank_transfer')", "count(*)")} AS bank_transfer_pct,
-    {pc("count(*) FILTER (WHERE payment_method = 'app_balance')", "count(*)")} AS app_balance_pct"""
+_METHODS = ("card", "bank_transfer", "app_balance")
 _REVENUE_SQL = _net_of_staged(
-    f"""SELECT {_REVENUE_COLS},
-    CAST(to_json((list({{'merchant_category': merchant_category, 'net_amount': CAST(net AS BIGINT)}}
-        ORDER BY net DESC, merchant_category ASC NULLS LAST, transaction_id))[1:5]) AS VARCHAR) AS top_merchant_categories
-    FROM net GROUP BY 1"""
+    f""", users AS (SELECT dt, user_id, count(*) AS n, sum(gross) AS gross, sum(refund) AS refund, sum(net) AS net,
+        bool_or(coalesce(is_first_payment, false)) AS is_new,
+        {", ".join(f"count_if(payment_method = '{m}') AS {m}" for m in _METHODS)} FROM net GROUP BY dt, user_id),
+    days AS (SELECT dt, count(user_id) AS paying_users, sum(n) AS total_transactions, sum(gross) AS gross_revenue,
+        sum(refund) AS total_refunds, sum(net) AS net_revenue, count_if(is_new AND user_id IS NOT NULL) AS new_paying_users,
+        {", ".join(f"sum({m}) AS {m}" for m in _METHODS)} FROM users GROUP BY dt),
+    best AS (SELECT dt, list({{'merchant_category': merchant_category, 'net_amount': CAST(net AS BIGINT)}}
+        ORDER BY net DESC, merchant_category ASC NULLS LAST, transaction_id) AS every FROM net GROUP BY dt)
+    SELECT dt, paying_users, CAST(total_transactions AS BIGINT) AS total_transactions, gross_revenue, total_refunds,
+        net_revenue, {div("net_revenue", "paying_users")} AS arppu, {div("net_revenue", "total_transactions")} AS avg_txn_amount,
+        new_paying_users, {pc("new_paying_users", "paying_users")} AS new_paying_user_pct,
+        {", ".join(f"{pc(m, 'total_transactions')} AS {m}_pct" for m in _METHODS)},
+        CAST(to_json(every[1:5]) AS VARCHAR) AS top_merchant_categories FROM days JOIN best USING (dt)"""
 )
 _FUNNEL_SQL = f"""SELECT CAST(session_start AS DATE) AS dt, device_type, count(DISTINCT session_id) AS total_sessions,
     sum(has_payment_view) AS step1_payment_view, sum(has_method_select) AS step2_method_select,
