@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemill.functions.keyed import top_per_key
 from tidemill.session import shared_folder
 
 # The six characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -87,6 +88,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def bounded_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each class in ``key``: those with the smallest hash of doc_id (column ``_order``).
+
+    A first cut by hash leaves about 2 n rows of a class, from its counted size, so that what meets in one task for the
+    exact cut does not grow with the table. Classes are few: their counts are collected.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(key).agg(F.count("*")).collect()}
+    hashed = df.withColumn("_order", F.xxhash64("doc_id"))
+    large = {value: count for value, count in counts.items() if count > 4 * n and value is not None}
+    if large:
+        span = 1 << 40
+        pairs = [F.lit(x) for value, count in large.items() for x in (value, span * 2 * n // count)]
+        cut = F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(span))
+        hashed = hashed.filter(F.pmod(F.xxhash64("_order"), F.lit(span)) < cut)
+    return top_per_key(hashed, [key], [F.col("_order"), F.col("doc_id")], n).filter(F.col(key).isNotNull())
+
+
 def blank_free(text: Column) -> Column:
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(""))

@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.keyed import top_per_key
-from tidemill.llm.common import blocks, documents, held_out
+from tidemill.llm.common import blocks, bounded_sample, documents, held_out
 
 BITS = 16
 GRAMS = (1, 2, 3)
@@ -71,9 +70,8 @@ def gram_buckets(texts: list[str | None], classes: np.ndarray) -> tuple[np.ndarr
 
 def fit_counts(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> dict[str, np.ndarray]:
     """Gram counts per language over the bounded sample of rows that may be learned from."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    narrow = labelled.select("lang", F.xxhash64("doc_id").alias("_order"))
-    chosen = top_per_key(narrow, ["lang"], [F.col("_order")], rows_per_lang).select("lang", "_order").distinct()
+    labelled = docs.filter(F.col("lang").isNotNull() & ~held_out())
+    chosen = bounded_sample(labelled.select("doc_id", "lang"), "lang", rows_per_lang).select("lang", "_order").distinct()
     sample = (
         labelled.withColumn("_order", F.xxhash64("doc_id"))
         .join(F.broadcast(chosen), ["lang", "_order"], "left_semi")  # rows_per_lang rows of each language at most

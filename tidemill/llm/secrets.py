@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.keyed import top_per_key
-from tidemill.llm.common import blocks, documents, held_out, row_hash, written
+from tidemill.llm.common import blocks, bounded_sample, documents, held_out, row_hash, written
 
 LEAST = 12
 SAMPLE_DOCS = 1000
@@ -188,7 +187,7 @@ def candidates(docs: DataFrame, language: Language) -> DataFrame:
 
 def fit_forest(found: DataFrame, labelled: DataFrame, rows_per_class: int, trees: int) -> list[tuple]:
     """``labelled``: features and label of candidates; each tree learns from its own draw of the bounded sample."""
-    sample = top_per_key(labelled, ["label"], [F.col("_order"), F.col("start")], rows_per_class).select("features", "label")
+    sample = bounded_sample(labelled, "label", rows_per_class).select("features", "label")
     rows = sample.collect()  # 2 * rows_per_class rows at most
     if not rows:
         return [(0.0,)]
@@ -211,12 +210,11 @@ def scan_secrets(
 ) -> DataFrame:
     """One row per candidate: doc_id, start, length (characters), sha256 of the value, score and is_secret."""
     found = written(candidates(docs, learn_language(docs)), "secret-candidates")
-    ordered = found.withColumn("_order", F.xxhash64("doc_id", "row_hash"))
     if findings is None:
-        labelled = ordered.filter(~held_out()).withColumn("label", F.col("rule"))
+        labelled = found.filter(~held_out()).withColumn("label", F.col("rule"))
     else:
         marks = findings.groupBy("doc_id", "start").agg(F.max(F.col("label").cast("boolean")).alias("label"))
-        labelled = ordered.join(marks.filter("label IS NOT NULL"), ["doc_id", "start"])
+        labelled = found.join(marks.filter("label IS NOT NULL"), ["doc_id", "start"])
     forest = docs.sparkSession.sparkContext.broadcast(fit_forest(found, labelled, rows_per_class, trees))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
