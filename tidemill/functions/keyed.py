@@ -63,19 +63,14 @@ def next_in_group(
     )
 
 
-def join_dimension(
-    facts: DataFrame, dimension: DataFrame, key: str, how: str = "left", spread_by: Sequence[str] = (), salts: int = 16
-) -> DataFrame:
-    """Join facts with a dimension that has one row per key, safe for a key that holds a third of the facts.
+def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join facts with a table that has one row per key, safe for a key that holds a third of the facts.
 
-    The dimension is repeated once per salt and the facts of a key are spread over the salts, so no task gets
-    a hot key whole. No broadcast is forced: below the session's broadcast threshold Spark skips the shuffle
-    by itself, from the size it knows, and the salts then cost nothing but a short list in memory.
+    Nothing is repeated and nothing forced: Spark broadcasts the smaller side only if its own estimate of that side's size
+    stays below its threshold, and otherwise splits the partitions of a hot key when it sees their sizes. Both sides
+    should be free of an aggregation on ``key`` directly below, which would pin the partitions.
     """
-    columns = [*spread_by] or [c for c in facts.columns if c != key]
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    return facts.join(dimension, key, how)
 
 
 def rolling_distinct(

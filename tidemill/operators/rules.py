@@ -113,7 +113,7 @@ def with_columns(rules: Sequence[Rule], mapping: Mapping[str, str]) -> list[Rule
 def with_user_created_at(events: DataFrame, users: DataFrame) -> DataFrame:
     """Add ``user_created_at`` from the users table (one row per user); a busy user is spread over tasks."""
     created = users.select("user_id", F.col("created_at").alias("user_created_at"))
-    return join_dimension(events, created, "user_id", "left", spread_by=["event_id"])
+    return join_dimension(events, created, "user_id")
 
 
 def _in_range(value: Column, rule: Rule) -> Column:
