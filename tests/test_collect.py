@@ -133,7 +133,14 @@ def test_message_schema(spark):
     cases = [
         good, {**good, "extra": 1}, {**good, "app_version": "1.2"}, {**good, "properties": {"amount": -1}},
         {**good, "properties": {"payment_method": "cash"}}, {k: v for k, v in good.items() if k != "user_id"},
+        {**good, "user_id": 5}, {**good, "properties": 7}, {**good, "properties": None}, {**good, "os_version": 17},
+        {**good, "properties": {"amount": "12"}}, {**good, "properties": {"amount": 1.5, "is_first_payment": "yes"}},
+        {**good, "event_timestamp": "2024-01-01"}, {**good, "properties": {"merchant_id": 4, "is_first_payment": True}},
     ]
     raw = _messages(spark, *[json.dumps(c) for c in cases], "nope")
     errors = [r.errors for r in x.validate_event_schema(raw).collect()]
-    assert errors == [[], ["unknown_key"], ["app_version"], ["amount"], ["payment_method"], ["user_id"], ["not_an_object"]]
+    assert errors == [[], ["unknown_key"], ["app_version"], ["amount"], ["payment_method"], ["user_id"],
+        ["user_id"], ["properties"], ["properties"], ["os_version"], ["amount"], ["amount", "is_first_payment"],
+        ["event_timestamp"], ["merchant_id"], ["not_an_object"]]
+    strict = x.validate_event_schema(raw.limit(1), check_formats=True)
+    assert strict.first().errors == ["event_id"]

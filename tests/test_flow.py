@@ -69,6 +69,17 @@ def test_replayed_batch_replaces_itself(spark, sf, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/cdc").count() == 2 * rows.count()
 
 
+def test_closed_dates_are_compacted(spark, sf, tmp_path):
+    rows = t.changes(spark, sf, "users")
+    for batch in range(3):
+        sinks.sink_cdc_fanout(rows, batch, f"{tmp_path}/cdc", date_unit="year")
+    dates = spark.read.parquet(f"{tmp_path}/cdc").select("cdc_date").distinct().count()
+    assert sinks.compact_batches(spark, f"{tmp_path}/cdc", "2100-01-01") == dates
+    stored = spark.read.parquet(f"{tmp_path}/cdc")
+    assert stored.count() == 3 * rows.count() and [r[0] for r in stored.select("batch_id").distinct().collect()] == [-1]
+    assert sinks.compact_batches(spark, f"{tmp_path}/cdc", "2100-01-01") == 0
+
+
 def test_stream_dedup_within_watermark(spark, tmp_path):
     src = tmp_path / "in"
     _write(src, "a.txt", [_event(1, "s", "2024-01-01T00:00:10Z"), _event(1, "s", "2024-01-01T00:00:10Z")])

@@ -10,6 +10,12 @@ from tidemill.operators.collect import _errors, message_text
 # Name pattern, required keys, allowed keys and enumerations of the message schema.
 NAME_PATTERN = r"^[a-z_]+\.[a-z_]+\.[a-z_]+$"
 VERSION_PATTERN = r"^\d+\.\d+\.\d+$"
+DATE_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}"
+UUID_PATTERN = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+TEXT_PROPERTIES = (
+    "transaction_id", "merchant_id", "merchant_category", "transfer_id", "from_account_type", "to_account_type",
+    "error_code", "error_message",
+)
 REQUIRED = (
     "event_id", "event_name", "event_timestamp", "user_id", "session_id", "device_id", "device_type", "app_version",
 )
@@ -29,29 +35,51 @@ def parse_taxonomy(events: DataFrame) -> DataFrame:
     )
 
 
-def validate_event_schema(raw: DataFrame, payment_methods: tuple[str, ...] = PAYMENT_METHODS) -> DataFrame:
-    """Add ``errors`` to JSON messages: the keys that break the message schema.
+def validate_event_schema(
+    raw: DataFrame, payment_methods: tuple[str, ...] = PAYMENT_METHODS, check_formats: bool = False
+) -> DataFrame:
+    """Add ``errors`` to JSON messages: the keys that break the message schema, by presence, type, pattern or range.
 
-    A required key that is missing or null is reported under its own name. ``unknown_key`` stands for any
-    top-level key outside the schema. ``not_an_object`` stands alone: nothing else can be judged then.
+    A required key that is missing or null is reported under its own name. ``unknown_key`` stands for any top-level key
+    outside the schema. ``not_an_object`` stands alone: nothing else can be judged then (a key given twice counts as that).
+    With ``check_formats`` the event id must be a UUID too. A message is parsed once, typed.
     """
-    text = message_text(raw)
-    members = ", ".join(f"{name} string" for name in REQUIRED)
-    message = f"{members}, properties struct<amount: string, payment_method: string>"
-    parsed = raw.withColumn("_m", F.from_json(text, message)).withColumn("_keys", F.json_object_keys(text))
+    # the generator keeps later steps from being folded into it, so the text is parsed once
+    parsed = raw.select("*", F.inline(F.array(F.struct(F.try_parse_json(message_text(raw)).alias("_v")))))
+
+    def member(path: str) -> Column:
+        return F.try_variant_get("_v", f"$.{path}", "variant")
+
+    def kind(path: str) -> Column:
+        return F.coalesce(F.schema_of_variant(member(path)), F.lit("VOID"))
+
+    def text(path: str) -> Column:
+        return F.when(kind(path) == "STRING", F.try_variant_get("_v", f"$.{path}", "string"))
 
-    def key(name: str) -> Column:
-        return F.col(f"_m.{name}")
+    def optional(path: str, of_kind: Column) -> Column:
+        return (kind(path) == "VOID") | of_kind
 
+    rules = {name: F.length(text(name)) >= 1 for name in REQUIRED}
+    if check_formats:
+        rules["event_id"] = text("event_id").rlike(UUID_PATTERN)
+    stamp = text("event_timestamp")
+    rules["event_name"] = text("event_name").rlike(NAME_PATTERN)
+    rules["event_timestamp"] = stamp.rlike(DATE_TIME_PATTERN) & F.try_to_timestamp(stamp).isNotNull()
+    rules["device_type"] = text("device_type").isin(*DEVICES)
+    rules["app_version"] = text("app_version").rlike(VERSION_PATTERN)
+    for name in ("os_version", "screen_name"):
+        rules[name] = optional(name, kind(name) == "STRING")
+    rules["properties"] = ~member("properties").isNotNull() | kind("properties").startswith("OBJECT")
+    for name in TEXT_PROPERTIES:
+        rules[name] = optional(f"properties.{name}", kind(f"properties.{name}") == "STRING")
+    number = F.try_variant_get("_v", "$.properties.amount", "double")
+    whole = kind("properties.amount").rlike("^(BIGINT|DECIMAL|DOUBLE)") & (number == F.floor(number)) & (number >= 0)
+    rules["amount"] = optional("properties.amount", whole)
+    rules["payment_method"] = optional("properties.payment_method", text("properties.payment_method").isin(*payment_methods))
+    rules["is_first_payment"] = optional("properties.is_first_payment", kind("properties.is_first_payment") == "BOOLEAN")
     known = F.array(*[F.lit(k) for k in (*REQUIRED, *OPTIONAL)])
-    rules = {name: F.length(key(name)) >= 1 for name in REQUIRED}
-    rules["event_name"] = key("event_name").rlike(NAME_PATTERN)
-    rules["event_timestamp"] = F.try_to_timestamp(key("event_timestamp")).isNotNull()
-    rules["device_type"] = key("device_type").isin(*DEVICES)
-    rules["app_version"] = key("app_version").rlike(VERSION_PATTERN)
-    amount, method = key("properties.amount"), key("properties.payment_method")
-    rules["amount"] = amount.isNull() | amount.rlike(r"^\d+$")
-    rules["payment_method"] = method.isNull() | method.isin(*payment_methods)
-    rules["unknown_key"] = F.size(F.array_except("_keys", known)) == 0
-    errors = F.when(F.col("_keys").isNull(), F.array(F.lit("not_an_object"))).otherwise(_errors(rules))
-    return parsed.withColumn("errors", errors).drop("_m", "_keys")
+    keys = F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>"))
+    rules["unknown_key"] = F.size(F.array_except(keys, known)) == 0
+    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    errors = F.when(~is_object, F.array(F.lit("not_an_object"))).otherwise(_errors(rules))
+    return parsed.withColumn("errors", errors).drop("_v")

@@ -70,16 +70,25 @@ def _headers(spark, sf):
 
 def _pay_errors_sql() -> str:
     def get(key: str) -> str:
-        return f"json_extract_string(value, '$.{key}')"
+        return f"CASE json_type(value, '$.{key}') WHEN 'VARCHAR' THEN json_extract_string(value, '$.{key}') END"
+
+    def typed(key: str, *kinds: str) -> str:
+        return f"coalesce(json_type(value, '$.{key}'), 'NULL') IN ('NULL', {', '.join(repr(k) for k in kinds)})"
 
     tests = {r: f"length({get(r)}) >= 1" for r in x.REQUIRED}
     tests["event_name"] = f"regexp_matches({get('event_name')}, '^[a-z_]+\\.[a-z_]+\\.[a-z_]+$')"
     tests["event_timestamp"] = f"TRY_CAST({get('event_timestamp')} AS TIMESTAMP) IS NOT NULL"
     tests["device_type"] = f"{get('device_type')} IN ('ios', 'android', 'web')"
     tests["app_version"] = f"regexp_matches({get('app_version')}, '^\\d+\\.\\d+\\.\\d+$')"
-    amount, method = get("properties.amount"), get("properties.payment_method")
-    tests["amount"] = f"{amount} IS NULL OR regexp_matches({amount}, '^\\d+$')"
-    tests["payment_method"] = f"{method} IS NULL OR {method} IN ('card', 'bank_transfer', 'app_balance')"
+    for name in ("os_version", "screen_name"):
+        tests[name] = typed(name, "VARCHAR")
+    tests["properties"] = "coalesce(json_type(value, '$.properties'), 'OBJECT') = 'OBJECT'"
+    for name in x.TEXT_PROPERTIES:
+        tests[name] = typed(f"properties.{name}", "VARCHAR")
+    tests["amount"] = typed("properties.amount", "UBIGINT")
+    method = get("properties.payment_method")
+    tests["payment_method"] = f"json_type(value, '$.properties.payment_method') IS NULL OR {method} IN ('card', 'bank_transfer', 'app_balance')"
+    tests["is_first_payment"] = typed("properties.is_first_payment", "BOOLEAN")
     allowed = ", ".join(f"'{n}'" for n in (*x.REQUIRED, *x.OPTIONAL))
     tests["unknown_key"] = f"len(list_filter(json_keys(value), lambda y: NOT list_contains([{allowed}], y))) = 0"
     cases = ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{n}' END" for n, ok in tests.items())

@@ -38,6 +38,21 @@ def _lake(spark: SparkSession, purpose: str) -> Lake:
     return Lake(spark, shared_folder(spark, purpose), date_unit="month")
 
 
+def _session_messages(spark, sf):
+    """Messages with missing and broken times, one file per micro-batch in order of time."""
+    root = shared_folder(spark, "session-messages")
+    messages = t.raw_messages(spark, sf)
+    stamp = F.coalesce(
+        F.to_date(F.try_to_timestamp(F.get_json_object("value", "$.event_timestamp"))), F.lit("2024-01-01").cast("date")
+    )
+    slices = F.greatest(F.lit(0), F.least(F.lit(2), F.floor(F.datediff(stamp, F.lit("2024-01-01").cast("date")) / 10)))
+    for i in range(3):
+        messages.filter(slices == i).coalesce(1).write.text(f"{root}/in/part={i}")
+    lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).text(f"{root}/in/*/*.txt")
+    _finish(jobs.aggregate_sessions(lines, f"{root}/out", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/out").withColumn("event_types", F.concat_ws(",", "event_types"))
+
+
 def _run_stream(df: DataFrame, purpose: str) -> DataFrame:
     """Run a streaming frame to its end into a table and read it back."""
     spark = df.sparkSession
@@ -333,6 +348,17 @@ QUERIES = [
         HAVING date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE <= {_CLOSED}""",
         ints="user_id",
     ),
+    Query(
+        "session_windows_messages",
+        _session_messages,
+        _en("""SELECT session_id, count(*) AS event_count,
+        array_to_string(list_sort(list(DISTINCT kind)), ',') AS event_types, arg_min_null(user_id, (ts, event_id)) AS user_id,
+        arg_min_null(device_type, (ts, event_id)) AS device_type, min(ts) AS first_event_at, max(ts) AS last_event_at,
+        bool_or(kind = 'purchase') AS has_purchase, date_trunc('minute', ts) AS window_start
+        FROM en WHERE ts IS NOT NULL GROUP BY session_id, date_trunc('minute', ts)
+        HAVING date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM en)"""),
+        ints="user_id",
+    ),
     Query(
         "sink_dead_letter",
         _sink_dead_letter,

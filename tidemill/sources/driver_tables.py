@@ -236,10 +236,12 @@ RAW_PAY_MESSAGE = f"""'{{"event_id":"' || event_id || '","event_name":"' || even
     || {_iso("event_timestamp")} || '"' || case when k = 88 then '' else ',"user_id":"' || user_id || '"' end
     || ',"session_id":"' || session_id || '","device_id":"' || device_id || '","device_type":"'
     || case when k = 87 then 'tv' else device_type end || '","app_version":"' || app_version || '"'
-    || case when k = 86 then ',"surprise":1' else '' end
-    || ',"properties":{{"note":"x"'
+    || case when k = 86 then ',"surprise":1' when k = 83 then ',"os_version":17' else '' end
+    || case when k = 82 then ',"properties":7,"screen_name":{{"note":"x"' else ',"properties":{{"note":"x"' end
+    || case when k = 81 then ',"is_first_payment":"yes","merchant_id":5' else ',"is_first_payment":true' end
     || case when amount is null then '' else ',"amount":'
-        || case when k = 85 then '-' else '' end || cast(amount as string) end
+        || case when k = 85 then '-' || cast(amount as string) when k = 80 then '"' || cast(amount as string) || '"'
+            else cast(amount as string) end end
     || case when payment_method is null then '' else ',"payment_method":"'
         || case when k = 84 then 'cash' else payment_method end || '"' end || '}}}}'"""
 
