@@ -1,8 +1,8 @@
 """Logins: retention, active users, cohorts.
 
-A user's login days are gathered once per user. That set is bounded by the calendar days of the input (the
-staging look-back), never by the number of events, and it turns retention into one shuffle by user without a
-self-join: the cohort is the first day, and the users back on day 0 are the cohort itself.
+Logins are reduced to one row per user and day by a hash aggregation first. A user then has at most as many rows as the
+input has calendar days (the staging look-back), and retention needs no self-join: the cohort is the first day of the
+user's window, and the users back on day 0 are the cohort itself.
 """
 
 from __future__ import annotations
@@ -24,27 +24,16 @@ def _returns(events: DataFrame, max_day: int, cohort_from: Day | None, first_in_
     ``cohort_from`` keeps cohorts from that date on. With ``first_in_range`` the cohort is the first login on
     or after that date, instead of the first ever.
     """
-    days = (
-        logins(events)
-        .groupBy("user_id")
-        .agg(F.array_sort(F.collect_set(F.to_date("event_timestamp"))).alias("days"))
-    )
-    eligible = F.col("days")
+    user_days = logins(events).select("user_id", F.to_date("event_timestamp").alias("d")).distinct()
     if first_in_range is not None:
-        low = F.lit(day(first_in_range))
-        eligible = F.filter(eligible, lambda d: d >= low)
-    users = days.withColumn("days", eligible).filter(F.size("days") > 0)
-    users = users.withColumn("cohort_date", F.element_at("days", 1))
+        user_days = user_days.filter(F.col("d") >= F.lit(day(first_in_range)))
+    # a user has at most one row per calendar day here
+    cohort = F.min("d").over(Window.partitionBy("user_id"))
+    days = user_days.filter(F.col("d").isNotNull()).withColumn("cohort_date", cohort)
+    days = days.withColumn("day_n", F.date_diff("d", "cohort_date")).filter(F.col("day_n") <= max_day)
     if cohort_from is not None:
-        users = users.filter(F.col("cohort_date") >= F.lit(day(cohort_from)))
-    offsets = F.filter(
-        F.transform("days", lambda d: F.date_diff(d, F.col("cohort_date"))), lambda n: n <= max_day
-    )
-    return (
-        users.select("cohort_date", F.explode(offsets).alias("day_n"))
-        .groupBy("cohort_date", "day_n")
-        .agg(F.count(F.lit(1)).alias("returned_users"))
-    )
+        days = days.filter(F.col("cohort_date") >= F.lit(day(cohort_from)))
+    return days.groupBy("cohort_date", "day_n").agg(F.count(F.lit(1)).alias("returned_users"))
 
 
 def _with_cohort_size(returns: DataFrame) -> DataFrame:
