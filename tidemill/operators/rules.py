@@ -193,10 +193,16 @@ def dq_suite_run(
     suite: str,
     partition_date: Day | None = None,
     date_column: str = "event_timestamp",
+    plain: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per rule: what was observed, how many rows broke it, and whether it holds."""
+    """One row per rule: what was observed, how many rows broke it, and whether it holds.
+
+    ``plain`` is the frame before columns were looked up for some rules (the same rows): uniqueness rules read it, so the
+    lookup is not repeated for each of them.
+    """
+    plain = df if plain is None else plain
     if partition_date is not None:
-        df = df.filter(on_day(date_column, partition_date))
+        df, plain = (x.filter(on_day(date_column, partition_date)) for x in (df, plain))
     numbered = list(enumerate(rules, 1))
     simple = [(i, r) for i, r in numbered if r.kind not in _DISTINCT_KINDS]
     parts = []
@@ -215,7 +221,7 @@ def dq_suite_run(
         parts.append(df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*entries))))
     for column in dict.fromkeys(r.column for _, r in numbered if r.kind in _DISTINCT_KINDS):
         chosen = [(i, r) for i, r in numbered if r.kind in _DISTINCT_KINDS and r.column == column]
-        parts.append(_distinct_rows(df, column, chosen))
+        parts.append(_distinct_rows(plain, column, chosen))
     measured = reduce(DataFrame.unionByName, parts)
 
     def by_rule(value) -> Column:

@@ -166,7 +166,9 @@ _BOTH_SQL = (
 
 
 def _suites(spark, sf):
-    events = r.dq_suite_run(pay_events_with_users(spark, sf), r.events_suite(), EVENTS)
+    events = r.dq_suite_run(
+        pay_events_with_users(spark, sf), r.events_suite(), EVENTS, plain=t.pay_events(spark, sf)
+    )
     return events.unionByName(r.dq_suite_run(transactions(spark, sf), r.transactions_suite(), TXNS))
 
 
@@ -175,7 +177,12 @@ _RESULT_TYPES = {"floats": "observed_value unexpected_percent", "ints": "rule_no
 
 def _one_rule(key: str, rule: r.Rule, source: str = "pay_events") -> Query:
     def run(spark, sf):
-        df = pay_events_with_users(spark, sf) if source == "pay_events" else transactions(spark, sf)
+        if source != "pay_events":
+            df = transactions(spark, sf)
+        elif rule.kind == "pair_a_ge_b":
+            df = pay_events_with_users(spark, sf)
+        else:
+            df = t.pay_events(spark, sf)
         return r.dq_suite_run(df, [rule], key)
 
     from_sql = _EVENTS_FROM if source == "pay_events" else source

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,5 +54,4 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         return tempfile.mkdtemp(prefix=f"tidemill-{purpose}-")
-    unique = spark.sql("SELECT uuid()").first()[0]
-    return f"{base.rstrip('/')}/tidemill/{purpose}-{unique}"
+    return f"{base.rstrip('/')}/tidemill/{purpose}-{uuid.uuid4()}"
