@@ -247,6 +247,18 @@ def _run_batch(spark, sf):
     return lake.read("mart", "daily_sales")
 
 
+def _run_batch_twice(spark, sf):
+    """The daily job over the changes up to a date, then once more with only what came after it."""
+    lake = _lake(spark, "daily-since")
+    cut = F.lit("1996-01-01").cast("timestamp")
+    logs = [t.changes(spark, sf, n) for n in TABLES]
+    events, later = t.user_events(spark, sf), F.col("ingested_at") >= F.lit("2024-01-20").cast("timestamp")
+    after = F.col("cdc_timestamp") >= cut
+    daily.run_batch(lake, *[log.filter(~after) for log in logs], events.filter(~later))
+    daily.run_batch_since(lake, *[log.filter(after) for log in logs], events.filter(later))
+    return lake.read("mart", "daily_sales")
+
+
 def _run_metrics(spark, sf):
     _, log = _daily(spark, sf)
     return checks.run_counters(log.frame()).drop("duration_sec")
@@ -447,6 +459,7 @@ QUERIES = [
     ),
     Query("sink_quality_results", _sink_quality, _ALL_SQL, "metric_value"),
     Query("daily_batch", _run_batch, _BATCH_SQL, **_SALES_TYPES),
+    Query("daily_batch_since", _run_batch_twice, _BATCH_SQL, **_SALES_TYPES),
     Query(
         "payment_metrics",
         _payment_metrics,

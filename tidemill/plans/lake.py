@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemill import schemas
 from tidemill.functions.exprs import Day, day
+from tidemill.functions.keyed import first_per_key
+from tidemill.session import shared_folder
 from tidemill.sources.tables import source_table, stored_schema
 
 MODES = {"truncate": "overwrite", "append": "append", "empty": "errorifexists"}
@@ -72,14 +74,54 @@ class Lake:
 
     def store(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         """Full refresh of a declared table, in its declared columns and layout."""
-        schema, partition, cluster = schemas.LAYERS[layer][name]
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        shaped = df.select(*columns)
+        _, partition, cluster = schemas.LAYERS[layer][name]
+        return self.ctas_replace(self.shaped(df, layer, name), layer, name, partition, cluster)
+
+    def shaped(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+        """The declared columns of a table and its partition column."""
+        schema, partition, _ = schemas.LAYERS[layer][name]
+        out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
         if partition and partition not in schema.names:
-            shaped = shaped.withColumn(
-                partition, F.to_date(F.date_trunc(self.date_unit, _PARTITION_SOURCE[partition]))
-            )
-        return self.ctas_replace(shaped, layer, name, partition, cluster)
+            out = out.withColumn(partition, F.to_date(F.date_trunc(self.date_unit, _PARTITION_SOURCE[partition])))
+        return out
+
+    def merge(self, new: DataFrame, layer: str, name: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+        """Put new rows in the place of stored rows with the same keys, where they come later in ``order``.
+
+        Only partitions are rewritten that hold a new row or a stored row with its keys. The merged rows are stored aside
+        before they replace what they were read from.
+        """
+        _, partition, cluster = schemas.LAYERS[layer][name]
+        old, new = self.read(layer, name), self._aside(self.shaped(new, layer, name), f"{name}-new")
+        touched = None
+        if partition:
+            moved = old.join(new.select(*keys), [*keys], "left_semi").select(partition)
+            touched = self._aside(new.select(partition).unionByName(moved).distinct(), f"{name}-touched")
+            # one row per date; nulls are a partition of their own
+            base = old.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+        else:
+            base = old
+        both = base.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        merged = first_per_key(both, keys, [*[F.desc(c) for c in order], F.desc("_new")]).drop("_new")
+        merged = self._aside(merged, f"{name}-merged")
+        if not partition:
+            return self.ctas_replace(merged, layer, name, None, cluster)
+        result = self.partition_overwrite(merged, layer, name, partition, cluster)
+        for row in touched.join(merged.select(partition), partition, "left_anti").filter(F.col(partition).isNotNull()).collect():
+            fs, path = self._fs(f"{self.path(layer, name)}/{partition}={row[0]}")  # dates that lost their last row
+            fs.delete(path, True)
+        return result
+
+    def replace_dates(self, rows: DataFrame, layer: str, name: str, column: str, dates: DataFrame) -> DataFrame:
+        """Full refresh of a small table by date: stored rows of other dates stay, those of ``dates`` give way to ``rows``."""
+        named = dates.select(F.col(dates.columns[0]).alias("_d")).distinct()
+        kept = self.read(layer, name).join(named, F.col(column).eqNullSafe(F.col("_d")), "left_anti")
+        return self.store(self._aside(kept.unionByName(rows.select(*kept.columns)), f"{name}-merged"), layer, name)
+
+    def _aside(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_folder(self.spark, purpose) + "/rows"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def run_query_to_table(
         self, sql: str, layer: str, name: str, args: Mapping[str, object] | None = None, disposition: str = "truncate"
@@ -192,6 +234,7 @@ def _last_day(first, unit: str):
 _PARTITION_SOURCE = {
     "event_date": "event_timestamp",
     "ordered_date": "ordered_at",
+    "created_date": "created_at",
     "cdc_date": "cdc_timestamp",
     "checked_date": "checked_at",
 }

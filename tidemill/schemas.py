@@ -134,7 +134,7 @@ LAYERS = {
     "staging": {
         "orders": (STAGING_ORDERS, "ordered_date", ("order_status", "user_id")),
         "products": (STAGING_PRODUCTS, None, ("category_l1", "storage_type")),
-        "order_items": (STAGING_ORDER_ITEMS, None, ("order_id",)),
+        "order_items": (STAGING_ORDER_ITEMS, "created_date", ("order_id",)),
         "users": (STAGING_USERS, None, ("user_id",)),
         "user_events": (STAGING_USER_EVENTS, "event_date", ("event_type", "user_id")),
     },
