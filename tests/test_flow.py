@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import changes
+from tidemill.operators import changes, checks
 from tidemill.operators import collect as k
 from tidemill.plans import daily
 from tidemill.plans.lake import Lake
@@ -119,9 +119,10 @@ def test_full_refresh_removes_old_partitions(spark, tmp_path):
 
 def test_write_dispositions(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
-    rows, seconds = lake.run_query_to_table("select :n as n", "mart", "q", {"n": 3})
-    assert rows == 1 and seconds > 0
-    lake.run_query_to_table("select :n as n", "mart", "q", {"n": 4}, "append")
+    rows, seconds, size = lake.run_query_to_table("select :n as n", "mart", "q", {"n": 3})
+    assert rows == 1 and seconds > 0 and size == lake.stored_bytes("mart", "q") > 0
+    added = lake.run_query_to_table("select :n as n", "mart", "q", {"n": 4}, "append")[2]
+    assert lake.stored_bytes("mart", "q") == size + added
     assert sorted(r.n for r in lake.read("mart", "q").collect()) == [3, 4]
     with pytest.raises(Exception, match="(?i)already exists"):
         lake.run_query_to_table("select 1 as n", "mart", "q", disposition="empty")
@@ -190,3 +191,18 @@ def test_empty_documents(spark):
     frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
     kept = frame.withColumn("d", changes._document(F.col("x"))).filter("d IS NOT NULL").collect()
     assert [r.i for r in kept] == [3, 4]
+
+
+def test_quality_job_stores_before_it_stops(spark, sf, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    checks_frame = spark.createDataFrame(
+        [("freshness", "t", "FAIL", 90.0, 30.0, "late", "2024-01-31 00:00:00")],
+        "check_name string, table_name string, status string, metric_value double, threshold double, details string, at string",
+    ).withColumn("checked_at", F.to_timestamp("at")).drop("at")
+    with pytest.raises(checks.CriticalQualityFailure):
+        daily.run_quality_checks(lake, checks_frame)
+    assert lake.read("monitoring", "data_quality_checks").count() == 1
+    assert {r.status for r in lake.read("monitoring", "run_log").collect()} == {"success", "error"}
+    fine = checks_frame.withColumn("status", F.lit("PASS"))
+    daily.run_quality_checks(lake, fine)
+    assert lake.read("monitoring", "data_quality_checks").count() == 2

@@ -102,7 +102,7 @@ def _results(spark, *rows):
 
 def test_routing_halts_only_for_the_first_priority(spark):
     soft = _results(spark, ("a", "P2", "x", 5.0, False), ("a", "P1", "x", 5.0, False), ("a", "P0", "x", 0.0, True))
-    assert {(f.max_priority, f.channel, f.should_halt) for f in a.dq_failures(soft).collect()} == {("P1", "#data-alert", False)}
+    assert {(f.max_priority, f.channel, f.should_halt) for f in a.dq_failures(soft).collect()} == {("P1", "alerts", False)}
     assert not a.should_halt(soft)
     hard = _results(spark, ("a", "P0", "x", 2.0, False), ("a", "P1", "x", 0.1, False), ("b", "P2", "x", 0.0, True))
     assert {f.max_priority for f in a.dq_failures(hard).collect()} == {"P0"}

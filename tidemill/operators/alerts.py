@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Where failures of each priority go and what they ask for.
-ROUTES = {
-    "P0": ("#data-alert-critical", "파이프라인 중단"),
-    "P1": ("#data-alert", "수동 확인 필요"),
-    "P2": ("#data-daily-summary", "일일 리포트 포함"),
-}
+# Default route of each priority: (channel, action). Pass your own to ``dq_failures``.
+ROUTES = {"P0": ("critical", "halt"), "P1": ("alerts", "review"), "P2": ("summary", "report")}
 
 
-def _route(priority: Column, position: int) -> Column:
+def _route(priority: Column, routes: Mapping[str, tuple[str, str]], position: int) -> Column:
     value = F.lit(None).cast("string")
-    for name, entry in ROUTES.items():
+    for name, entry in routes.items():
         value = F.when(priority == name, F.lit(entry[position])).otherwise(value)
     return value
 
 
-def dq_failures(results: DataFrame) -> DataFrame:
+def dq_failures(results: DataFrame, routes: Mapping[str, tuple[str, str]] = ROUTES) -> DataFrame:
     """Failed rules with the worst priority of their suite, its route, and whether the suite must halt."""
     worst = F.min("priority").over(Window.partitionBy("suite"))
     return (
@@ -29,8 +27,8 @@ def dq_failures(results: DataFrame) -> DataFrame:
         .select(
             "suite", "rule_no", "expectation", "column", "priority", "category", "observed_value",
             "element_count", "unexpected_percent", "max_priority",
-            _route(F.col("max_priority"), 0).alias("channel"),
-            _route(F.col("max_priority"), 1).alias("action"),
+            _route(F.col("max_priority"), routes, 0).alias("channel"),
+            _route(F.col("max_priority"), routes, 1).alias("action"),
             (F.col("max_priority") == "P0").alias("should_halt"),
         )
     )

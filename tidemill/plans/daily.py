@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import Day
-from tidemill.operators import alerts, behaviour, changes, engagement, payments, rules, sales, staging
+from tidemill.operators import alerts, behaviour, changes, checks, engagement, payments, rules, sales, staging
 from tidemill.plans.lake import Lake
 
 RUN_LOG = (
@@ -132,6 +132,25 @@ def run_batch_since(
     return log
 
 
+def run_quality_checks(lake: Lake, results: DataFrame) -> RunLog:
+    """Store check records (``checks.dq_run_all``), then stop with an error if a critical one failed."""
+    log = RunLog(lake, "data_quality")
+
+    def store(df: DataFrame) -> DataFrame:
+        lake.sink_quality_results(df)
+        return df
+
+    stored = log.step("data_quality_checks", lake._aside(results, "checks"), store)
+    try:
+        checks.raise_on_critical(stored)
+    except checks.CriticalQualityFailure as failure:
+        log.fail("quality_gate", str(failure))
+        raise
+    finally:
+        log.save()
+    return log
+
+
 def run_payment_metrics(lake: Lake, raw_events: DataFrame, as_of: Day, gate: bool = True) -> RunLog:
     """Build the payment marts from transactions stored once, behind the transaction rules.
 

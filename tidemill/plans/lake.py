@@ -125,14 +125,20 @@ class Lake:
 
     def run_query_to_table(
         self, sql: str, layer: str, name: str, args: Mapping[str, object] | None = None, disposition: str = "truncate"
-    ) -> tuple[int, float]:
-        """Run SQL with named parameters into a table; returns the rows written and the seconds it took."""
+    ) -> tuple[int, float, int]:
+        """Run SQL with named parameters into a table; returns the rows written, the seconds it took and the bytes added."""
         seen = Observation()
         df = self.spark.sql(sql, args=dict(args or {})).observe(seen, F.count(F.lit(1)).alias("rows"))
+        before = self.stored_bytes(layer, name) if disposition == "append" else 0
         started = time.perf_counter()
         writer = df.write.mode(MODES[disposition]).option("partitionOverwriteMode", "static")
         writer.parquet(self.path(layer, name))
-        return int(seen.get["rows"]), time.perf_counter() - started
+        return int(seen.get["rows"]), time.perf_counter() - started, self.stored_bytes(layer, name) - before
+
+    def stored_bytes(self, layer: str, name: str) -> int:
+        """Size of a table's files as the file system sums it up; 0 where there is no table."""
+        fs, path = self._fs(self.path(layer, name))
+        return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
 
     def materialize_model(
         self,

@@ -242,9 +242,9 @@ QUERIES = [
         f"""WITH res AS ({_BOTH_SQL}), f AS (SELECT *, min(priority) OVER (PARTITION BY suite) AS max_priority
             FROM res WHERE NOT success)
         SELECT suite, rule_no, expectation, "column", priority, category, observed_value, element_count, unexpected_percent,
-            max_priority, CASE max_priority WHEN 'P0' THEN '#data-alert-critical' WHEN 'P1' THEN '#data-alert'
-            ELSE '#data-daily-summary' END AS channel, CASE max_priority WHEN 'P0' THEN '파이프라인 중단'
-            WHEN 'P1' THEN '수동 확인 필요' ELSE '일일 리포트 포함' END AS action, max_priority = 'P0' AS should_halt FROM f""",
+            max_priority, CASE max_priority WHEN 'P0' THEN 'critical' WHEN 'P1' THEN 'alerts'
+            ELSE 'summary' END AS channel, CASE max_priority WHEN 'P0' THEN 'halt'
+            WHEN 'P1' THEN 'review' ELSE 'report' END AS action, max_priority = 'P0' AS should_halt FROM f""",
         "observed_value unexpected_percent",
         "rule_no element_count",
     ),
