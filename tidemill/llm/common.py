@@ -16,8 +16,9 @@ from tidemill.session import shared_folder
 
 # The six characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-# A side may be broadcast only when its rows times their width stay below this.
-BROADCAST_BYTES = 24 << 20
+# A side may be broadcast only when its rows, with what a hash table takes for each, stay below this in memory.
+BROADCAST_BYTES = 64 << 20
+HASH_ROW_BYTES = 80
 # Bytes of text handled at once inside a task.
 BLOCK_BYTES = 4 << 20
 
@@ -45,7 +46,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 def fits(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a written table is small enough to be broadcast; counts rows from the file footers."""
-    return df.count() * row_bytes <= limit
+    return df.count() * (row_bytes + HASH_ROW_BYTES) <= limit
 
 
 def side(df: DataFrame, row_bytes: int) -> DataFrame:

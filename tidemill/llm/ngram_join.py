@@ -131,7 +131,7 @@ class Index:
         self.sizes = np.array([len(s) for s in sets], np.int64)
         tokens = np.concatenate(sets)
         order = np.argsort(tokens, kind="stable")
-        self.docs = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.docs = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[order]
         tokens = tokens[order]
         first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         self.tokens, self.starts = tokens[first], np.concatenate([first, [len(tokens)]])
@@ -332,7 +332,7 @@ def ngram_components(
     one_in = max(16, n_nodes // SAMPLE_DOCS)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=1 << 20):
+        for block in blocks(batches, limit=1 << 19):
             flat = np.concatenate([part_of_nothing, *_sets_of(block, words)])
             yield pa.RecordBatch.from_arrays([pa.array(_signed(flat))], names=["shingle"])
 
@@ -345,7 +345,7 @@ def ngram_components(
     order = spark.sparkContext.broadcast(Order(common["shingle"].to_numpy(np.int64).view(np.uint64), classes))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=1 << 20):
+        for block in blocks(batches, limit=1 << 19):
             sets = _sets_of(block, words)
             firsts = [_signed(order.value.prefix(s, percent)) for s in sets]
             ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
@@ -360,7 +360,7 @@ def ngram_components(
     entries = written(_tied(entries, percent), "join-entries")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit=1 << 20):
+        for block in blocks(batches, limit=1 << 19):
             blobs = pa.array([s.tobytes() for s in _sets_of(block, words)], pa.binary())
             names = ["root", "node", "label"]
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in names), blobs], names=[*names, "shingles"])
