@@ -210,7 +210,7 @@ def _expire(spark, sf):
     lake = _lake(spark, "expire")
     rows = collect.enrich_events(t.user_events_once(spark, sf))
     lake.ctas_replace(sinks.raw_event_rows(rows), "raw", "user_events", "event_date")
-    dropped = lake.expire_raw_partitions("user_events", t.EVENTS_AS_OF, days=15)
+    dropped = lake.expire_raw_partitions("user_events", t.EVENTS_AS_OF, days=15, unit="day")
     kept = lake.read("raw", "user_events").groupBy(F.col("event_date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     return kept.unionByName(dropped.select(F.col("partition_date").alias("d"), F.lit(0).cast("bigint").alias("n")))
 
