@@ -41,10 +41,8 @@ def dq_freshness(
         F.when(m.isNull() | (m > limit), "FAIL").when(m > limit * 0.8, "WARN").otherwise("PASS")
     )
     details = (
-        F.when(m.isNull(), "No data found in table")
-        .when(m > limit, F.format_string(f"Data is %d minutes old (SLA: {limit}m)", m))
-        .when(m > limit * 0.8, F.format_string(f"Data freshness approaching SLA: %dm / {limit}m", m))
-        .otherwise(F.format_string("Data is %d minutes fresh", m))
+        F.when(m.isNull(), "the table is empty")
+        .otherwise(F.format_string(f"last arrival %d min ago, at most {limit} min allowed", m))
     )
     at = moment(as_of_ts)
     return df.agg(whole_minutes(F.max(column), at).alias("m")).select(
@@ -85,16 +83,9 @@ def dq_volume_zscore(
     missing = today.isNull()
     status = F.when(missing, "WARN").when(z > threshold, "FAIL").otherwise("PASS")
     count, average = F.format_number(today, 0), F.format_number(mean, 0)
-    side = F.when(today > mean, "higher").otherwise("lower")
     details = (
-        F.when(missing, "Insufficient data for volume analysis")
-        .when(
-            z > threshold,
-            F.format_string(
-                "Volume anomaly detected: %s rows (%s than avg %s, z-score: %.2f)", count, side, average, z
-            ),
-        )
-        .otherwise(F.format_string("Volume normal: %s rows (avg: %s)", count, average))
+        F.when(missing, "no rows on the day before")
+        .otherwise(F.format_string("%s rows against a mean of %s, %.2f deviations away", count, average, z))
     )
     return stats.select(
         *_check("volume_anomaly", table, status, F.when(~missing, z), threshold, details, moment(str(last)))
@@ -118,12 +109,8 @@ def dq_null_rates(
     )
     r = F.col("r")
     bad = r > max_null_rate
-    text = F.concat(F.lit("Column '"), F.col("c"), F.format_string("' null rate: %.2f%%", r * 100))
-    details = (
-        F.when(r.isNull(), "No data for null rate check")
-        .when(bad, F.concat(text, F.lit(f" (threshold: {max_null_rate:.2%})")))
-        .otherwise(text)
-    )
+    share = F.format_string(f"%s is missing in %.2f%% of rows, {max_null_rate:.2%}% allowed", F.col("c"), r * 100)
+    details = F.when(r.isNull(), "no rows to look at").otherwise(share)
     status = F.when(r.isNull(), "WARN").when(bad, "FAIL").otherwise("PASS")
     name = F.concat(F.lit("null_rate_"), F.col("c"))
     return rates.select(*_check(name, table, status, r, max_null_rate, details, moment(str(day(date)))))
@@ -146,8 +133,8 @@ def dq_duplicate_rate(
     )
     rate = F.lit(1.0) - ratio(F.col("keys"), F.col("rows"))
     d = F.col("d")
-    details = F.when(d.isNull(), "No data for duplicate check").otherwise(
-        F.format_string("Duplicate rate: %.4f%% (%d duplicates)", d * 100, F.col("rows") - F.col("keys"))
+    details = F.when(d.isNull(), "no rows to look at").otherwise(
+        F.format_string("%d rows repeat a key (%.4f%%)", F.col("rows") - F.col("keys"), d * 100)
     )
     status = F.when(d.isNull(), "WARN").when(d > max_rate, "FAIL").otherwise("PASS")
     return counts.withColumn("d", rate).select(

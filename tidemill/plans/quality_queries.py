@@ -22,9 +22,8 @@ def _freshness_sql(table: str, at: str, limit: int) -> str:
     return f"""SELECT 'freshness' AS check_name, '{table}' AS table_name,
     CASE WHEN m IS NULL OR m > {limit} THEN 'FAIL' WHEN m > {limit * 0.8} THEN 'WARN' ELSE 'PASS' END AS status,
     CAST(m AS DOUBLE) AS metric_value, CAST({limit} AS DOUBLE) AS threshold,
-    CASE WHEN m IS NULL THEN 'No data found in table' WHEN m > {limit} THEN 'Data is ' || m || ' minutes old (SLA: {limit}m)'
-        WHEN m > {limit * 0.8} THEN 'Data freshness approaching SLA: ' || m || 'm / {limit}m'
-        ELSE 'Data is ' || m || ' minutes fresh' END AS details, TIMESTAMP '{at}' AS checked_at
+    CASE WHEN m IS NULL THEN 'the table is empty'
+        ELSE 'last arrival ' || m || ' min ago, at most {limit} min allowed' END AS details, TIMESTAMP '{at}' AS checked_at
     FROM (SELECT datesub('minute', max(ingested_at), TIMESTAMP '{at}') AS m FROM {table})"""
 
 
@@ -32,12 +31,9 @@ def _volume_sql(table: str, as_of: str, column: str) -> str:
     return f"""SELECT 'volume_anomaly' AS check_name, '{table}' AS table_name,
     CASE WHEN today IS NULL THEN 'WARN' WHEN z > 2 THEN 'FAIL' ELSE 'PASS' END AS status,
     CASE WHEN today IS NOT NULL THEN z END AS metric_value, CAST(2 AS DOUBLE) AS threshold,
-    CASE WHEN today IS NULL THEN 'Insufficient data for volume analysis'
-        WHEN z > 2 THEN 'Volume anomaly detected: ' || format('{{:,}}', today) || ' rows ('
-            || CASE WHEN today > mean THEN 'higher' ELSE 'lower' END || ' than avg '
-            || format('{{:,}}', CAST(round_even(mean, 0) AS BIGINT)) || ', z-score: ' || format('{{:.2f}}', z) || ')'
-        ELSE 'Volume normal: ' || format('{{:,}}', today) || ' rows (avg: '
-            || format('{{:,}}', CAST(round_even(mean, 0) AS BIGINT)) || ')' END AS details,
+    CASE WHEN today IS NULL THEN 'no rows on the day before' ELSE format('{{:,}}', today) || ' rows against a mean of '
+        || format('{{:,}}', CAST(round_even(mean, 0) AS BIGINT)) || ', ' || format('{{:.2f}}', z) || ' deviations away'
+        END AS details,
     TIMESTAMP '{as_of} 00:00:00' AS checked_at
     FROM (SELECT today, mean, coalesce(abs(today - mean) / nullif(std, 0), 0) AS z FROM (
         SELECT max(n) FILTER (WHERE dt = DATE '{as_of}' - 1) AS today, avg(n) FILTER (WHERE dt < DATE '{as_of}') AS mean,
@@ -50,9 +46,8 @@ def _null_sql(columns) -> str:
     parts = [
         f"""SELECT 'null_rate_{c}' AS check_name, 'user_events' AS table_name,
         CASE WHEN x IS NULL THEN 'WARN' WHEN x > 0.05 THEN 'FAIL' ELSE 'PASS' END AS status, x AS metric_value,
-        CAST(0.05 AS DOUBLE) AS threshold, CASE WHEN x IS NULL THEN 'No data for null rate check' ELSE
-        'Column ''{c}'' null rate: ' || format('{{:.2f}}%', x * 100)
-        || CASE WHEN x > 0.05 THEN ' (threshold: 5.00%)' ELSE '' END END AS details, TIMESTAMP '{DAY} 00:00:00' AS checked_at
+        CAST(0.05 AS DOUBLE) AS threshold, CASE WHEN x IS NULL THEN 'no rows to look at' ELSE
+        '{c} is missing in ' || format('{{:.2f}}%', x * 100) || ' of rows, 5.00% allowed' END AS details, TIMESTAMP '{DAY} 00:00:00' AS checked_at
         FROM (SELECT CAST(count(*) - count({c}) AS DOUBLE) / nullif(count(*), 0) AS x FROM user_events
         WHERE {_D} = DATE '{DAY}')"""
         for c in columns
@@ -63,7 +58,7 @@ def _null_sql(columns) -> str:
 _DUP_SQL = f"""SELECT 'duplicate_rate' AS check_name, 'user_events' AS table_name,
     CASE WHEN n = 0 THEN 'WARN' WHEN x > 0.01 THEN 'FAIL' ELSE 'PASS' END AS status, x AS metric_value,
     CAST(0.01 AS DOUBLE) AS threshold,
-    'Duplicate rate: ' || format('{{:.4f}}%', x * 100) || ' (' || (n - u) || ' duplicates)' AS details,
+    (n - u) || ' rows repeat a key (' || format('{{:.4f}}%', x * 100) || ')' AS details,
     TIMESTAMP '{DAY} 00:00:00' AS checked_at
     FROM (SELECT count(*) AS n, count(DISTINCT event_id) AS u, 1 - {div("count(DISTINCT event_id)", "count(*)")} AS x
     FROM user_events WHERE {_D} = DATE '{DAY}')"""
