@@ -1,6 +1,7 @@
 """Streams against their batch form, replay, late data, and the layered tables."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,6 +153,7 @@ def test_bad_times_do_not_drop_later_events(spark, tmp_path):
         if name == "a":
             lines += [_event(90, "bad", "bad"), _event(91, "ahead", "2124-01-01T00:00:00Z")]
         _write(src, f"{name}.txt", lines)
+        os.utime(src / f"{name}.txt", (1_700_000_000 + 60 * i,) * 2)  # files are read in order of their times
     options = {"maxFilesPerTrigger": "1"}
     messages = sources.source_events_stream(spark, str(src), "text", options)
     jobs.aggregate_sessions(messages, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
