@@ -13,8 +13,8 @@ of increasing value: a breadth-first backward extension of intervals settles the
 stops at ``width``. What is not settled then has a common prefix of ``width`` or more. A key with more covers than
 ``key_covers`` is not collected: its windows are hashed one by one and counted by aggregation.
 
-Removal. The spans of a document (their number is bounded by its length) join its text again; both joins are broadcast
-where the checked size allows, so that texts stay where they are read.
+Removal. The spans of a document (their number is bounded by its length) join its text again: the one shuffle of texts. The
+join that cuts covers out of texts is a broadcast while the checked size of what it asks for allows.
 
 Defined results: a null text has no bytes; matches within one document and overlapping ones count; rows that repeat are
 occurrences of their own; texts shorter than ``width`` are kept whole; an empty table gives no rows; no column but doc_id
@@ -358,10 +358,8 @@ def remove_repeats(
     )
     spans = repeated_spans(texts.drop("doc_id"), width, key_covers, collection_bytes)
     spans = spans.distinct().groupBy("id0", "tie").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    spans = written(spans, "passages-spans")
-    total = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    per_doc = 24 + 16 * (total // max(1, spans.count()) + 1)
-    joined = texts.join(F.broadcast(spans) if fits(spans, per_doc) else spans, ["id0", "tie"], "left")
+    # Spans grow with the texts: this join moves the texts at every size.
+    joined = texts.join(written(spans, "passages-spans"), ["id0", "tie"], "left")
     schema = "doc_id bigint, row_hash bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     schema += ", kept_text binary" if keep_text else ""
     return joined.select("doc_id", "tie", "text", "spans").mapInArrow(_removal(width, keep_text), schema)
