@@ -114,6 +114,25 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == len(new) and not set(new) & set(emails)
 
 
+def test_surrogates_of_full_domains(spark):
+    """All names of a list, and all but one, are in the corpus, also with the exceptions joined instead of broadcast."""
+    women, men = pii._GIVEN[("f", "latin")], pii._GIVEN[("m", "latin")][1:]
+    names = [f"Frau {n}" for n in women] + [f"Herr {n}" for n in men]
+    docs = frame(spark, [*enumerate(names), (51, f"{names[0]} and {names[1]}")])
+    for limit in (1 << 26, 0):
+        out = {r.doc_id: r.text for r in pii.replace_pii(docs, broadcast_bytes=limit).collect()}
+        new = [out[i].split()[1] for i in range(len(names))]
+        assert len(set(new)) == len(new) and not set(new) & {*women, *men}
+        assert out[51] == f"Frau {new[0]} and Frau {new[1]}"
+
+
+def test_phone_mentions_of_one_number():
+    spellings = ["+1 (375) 555-4393", "+13755554393", "+1-375-555-4393"]
+    assert len({pii.canonical("phone", v) for v in spellings}) == 1
+    new = {pii.canonical("phone", pii.surrogate("phone", v, b"k")) for v in spellings}
+    assert new == {pii.surrogate("phone", pii.canonical("phone", spellings[0]), b"k")}
+
+
 def test_secrets(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 2500")
