@@ -151,3 +151,20 @@ def test_secrets(spark):
     marks = spark.createDataFrame([(20, 9, True), (20, 9, None)], "doc_id bigint, start bigint, label boolean")
     assert {r.score for r in secrets.scan_secrets(odd, marks).collect()} == {1.0}
     assert secrets.scan_secrets(frame(spark, [])).count() == 0
+
+
+def test_secret_dictionary_covers_all_texts(spark):
+    """A word of two texts among 3,000 counts, and a dictionary that is joined gives what a broadcast one gives."""
+    rows = [(i, f"plain words here number{i % 7} abcdefghij{i:06d} end", "en", "a") for i in range(3000)]
+    rows += [(i, "zyxwvut qrstnml key = zyxwvutqrstnml12", "en", "b") for i in (5000, 5001)]
+    docs = frame(spark, rows)
+    language, table = secrets.learn_language(docs)
+    assert table is None and {"zyxwvut", "qrstnml", "plain"} <= language.words
+    assert np.exp(language.logs[ord("z") - 97]).argmax() == ord("y") - 97
+    one, other = (
+        sorted((r.doc_id, r.start, r.sha256, tuple(r.features)) for r in secrets.candidates(docs, *secrets.learn_language(docs, limit)).collect())
+        for limit in (1 << 26, 0)
+    )
+    assert one == other and len(one) >= 3002
+    place = secrets.FEATURES.index("coverage")
+    assert {r[3][place] for r in one if r[0] == 5000} == {14 / 16}

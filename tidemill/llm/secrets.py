@@ -5,9 +5,11 @@ described by its length, shares of character classes, class changes, entropy, th
 transitions under ordinary words, the share of it covered by dictionary words, what stands around it (quotes, assignment,
 credential words before, hashes of the neighbouring words) and its path (the source column).
 
-The forest is trained from labelled findings (doc_id, start, label). Dictionary and transitions come from a bounded sample
-of ``SAMPLE_DOCS`` texts; the labelled candidates are bounded by ``rows_per_class``. Each tree is one task. Dictionary, forest
-and findings sample are of bounded size and broadcast; scoring is a map over the scan.
+The forest is trained from labelled findings (doc_id, start, label), bounded by ``rows_per_class``. Each tree is one task.
+Dictionary and transitions come from all texts: the dictionary holds every word of 3 to ``LONGEST`` letters that stands in two
+texts or more, the transitions are a 27 x 27 table of letter pairs over these words, weighted by their texts. The dictionary
+is broadcast where its counted size fits; beyond that the substrings of the candidates are joined with it and every candidate
+gets its own words. Forest and findings sample are of bounded size and broadcast; scoring is a map over the scan.
 
 Without reviewed findings (``findings=None``) labels are made by rule: a provider's key format, or a value of some entropy
 assigned right after a credential word, is true, any other candidate false; only documents outside the held-out fifth count.
@@ -24,7 +26,9 @@ import math
 import pickle
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,11 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import blocks, bounded_sample, documents, held_out, row_hash, written
+from tidemill.llm.common import BROADCAST_BYTES, blocks, bounded_sample, documents, fits, held_out, row_hash, written
 
 LEAST = 12
-SAMPLE_DOCS = 1000
-DICTIONARY = 20_000
+LONGEST = 16
 ROWS_PER_CLASS = 1000
 TREES = 24
 DEPTH = 8
@@ -45,6 +48,7 @@ LEAF = 3
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_-])|(?<=[=:])[A-Za-z0-9+/_-]{%d,}={0,2}" % (LEAST, LEAST))
 _ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
 _WORDS = re.compile(r"[^\W_]+")
+_LETTERS = re.compile(r"(?<!\w)[a-z]{3,}(?!\w)")  # whole words: parts of random strings would fill the dictionary
 CREDENTIALS = "password passwd pwd secret token key apikey auth credential bearer access private".split()
 PROVIDER_KEY = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{36}$|xox[abprs]-[0-9A-Za-z-]{20,}$|AIza[0-9A-Za-z_-]{35}$")
 _PATHS = re.compile(r"test|example|sample|mock|docs?\b|fixture", re.I)
@@ -67,28 +71,35 @@ def _entropy(value: str) -> float:
 class Language:
     """Dictionary and character transitions of ordinary words."""
 
-    def __init__(self, words: dict[str, int]):
-        self.words = set(words)
+    def __init__(self, words: set[str], pairs: dict[tuple[int, int], int]):
+        self.words = words
         counts = np.ones((27, 27))
-        for word, times in words.items():
-            codes = [26, *(min(ord(c) - 97, 26) if "a" <= c <= "z" else 26 for c in word), 26]
-            for a, b in zip(codes, codes[1:]):
-                counts[a, b] += times
+        for (a, b), times in pairs.items():
+            counts[a, b] += times
         self.logs = np.log(counts / counts.sum(axis=1, keepdims=True))
 
     def transitions(self, value: str) -> float:
         codes = [ord(c) - 97 if "a" <= c <= "z" else 26 for c in value.lower()]
         return float(np.mean([self.logs[a, b] for a, b in zip(codes, codes[1:])]))
 
-    def coverage(self, value: str) -> float:
+    def coverage(self, value: str, words: set[str] | None = None) -> float:
         """Share of the characters that a greedy longest match with dictionary words (3 letters or more) covers."""
         low, at, covered = value.lower(), 0, 0
+        words = self.words if words is None else words
         while at < len(low):
-            size = next((n for n in range(min(16, len(low) - at), 2, -1) if low[at : at + n] in self.words), 0)
+            size = next((n for n in range(min(LONGEST, len(low) - at), 2, -1) if low[at : at + n] in words), 0)
             covered, at = covered + size, at + max(size, 1)
         return covered / len(low)
 
 
+def substrings(value: str) -> Iterator[str]:
+    """All parts of a candidate that may be a dictionary word."""
+    for run in re.finditer("[a-z]{3,}", value.lower()):
+        for i in range(run.start(), run.end() - 2):
+            for n in range(3, min(LONGEST, run.end() - i) + 1):
+                yield run.string[i : i + n]
+
+
 def find(text: str | None) -> list[tuple[int, str, str, str, bool]]:
     """(start, value, text before, text after, assigned) of every candidate."""
     found = []
@@ -149,23 +160,39 @@ def answer(tree: tuple, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn_language(docs: DataFrame) -> Language:
-    order = F.xxhash64("doc_id")
-    ids = docs.filter(F.col("text").isNotNull()).select(order.alias("_order")).orderBy("_order").limit(SAMPLE_DOCS).distinct()
-    texts = docs.withColumn("_order", order).join(F.broadcast(ids), "_order", "left_semi").select("text")
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^a-z]+"))).alias("word"))
-    counts = words.filter(F.length("word") > 2).groupBy("word").agg(F.count("*").alias("n")).filter("n > 1")
-    top = counts.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()  # DICTIONARY words at most
-    return Language({r.word: r.n for r in top})
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of every text with the number of texts of the block they stand in, so that little is left to shuffle."""
+    for block in blocks(batches):
+        counts: Counter[str] = Counter()
+        for text in block.column("text").to_pylist():
+            counts.update({w for w in _LETTERS.findall(text.lower()) if len(w) <= LONGEST} if text else ())
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+
+def learn_language(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[Language, DataFrame | None]:
+    """Transitions and dictionary of all texts; a dictionary that fits no broadcast is returned as a table (word)."""
+    counts = docs.select("text").mapInArrow(_text_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(counts.filter("n > 1"), "secret-words")
+    code = lambda c: F.when(c == "", 26).otherwise(F.ascii(c) - 97)
+    places = counts.select("n", "word", F.explode(F.sequence(F.lit(0), F.length("word"))).alias("i"))
+    letter = lambda at: F.when((at < 1) | (at > F.length("word")), "").otherwise(F.substr("word", at, F.lit(1)))
+    pairs = places.select("n", code(letter(F.col("i"))).alias("a"), code(letter(F.col("i") + 1)).alias("b"))
+    pairs = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    table = {(r.a, r.b): r.n for r in pairs.collect()}  # 27 x 27 rows at most
+    if fits(counts, 60, broadcast_bytes):
+        return Language({r.word for r in counts.select("word").collect()}, table), None  # checked: fits a broadcast
+    return Language(set(), table), counts.select("word")
 
 
 _CANDIDATES = "doc_id bigint, row_hash bigint, start bigint, length bigint, sha256 string, rule boolean, features array<double>"
 
 
-def candidates(docs: DataFrame, language: Language) -> DataFrame:
+def candidates(docs: DataFrame, language: Language, words: DataFrame | None = None) -> DataFrame:
+    """``words``: the dictionary as a table, where ``language`` holds none."""
     shared = docs.sparkSession.sparkContext.broadcast(language)
     names = [c.split()[0] for c in _CANDIDATES.split(", ")]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.float64())]
+    keep = words is not None  # the value stays until its own words are joined
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -174,15 +201,47 @@ def candidates(docs: DataFrame, language: Language) -> DataFrame:
                 for start, value, before, after, assigned in find(text):
                     digest = hashlib.sha256(value.encode()).hexdigest()
                     features = describe(value, before, after, assigned, path, shared.value)
-                    rows.append((doc_id, tie, start, len(value), digest, rule_label(value, before, assigned), features))
-            columns = list(zip(*rows)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                    own = (value,) if keep else ()
+                    rows.append((doc_id, tie, start, len(value), digest, rule_label(value, before, assigned), features, *own))
+            columns = list(zip(*rows)) or [()] * (len(names) + keep)
+            own_types = [*types, pa.string()] if keep else types
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, own_types)], names=[*names, "value"][: len(own_types)])
 
     # Texts without a digit or an assignment have no candidate; they are left out before Python sees them.
     rows = docs.filter(F.col("text").rlike("[0-9=:]"))
-    return rows.select(F.col("doc_id").cast("bigint"), row_hash().alias("row_hash"), "text", F.col("source").cast("string")).mapInArrow(
-        run, _CANDIDATES
-    )
+    rows = rows.select(F.col("doc_id").cast("bigint"), row_hash().alias("row_hash"), "text", F.col("source").cast("string"))
+    if not keep:
+        return rows.mapInArrow(run, _CANDIDATES)
+    found = written(rows.mapInArrow(run, f"{_CANDIDATES}, value string"), "secret-values")
+    return _with_own_words(found, words).mapInArrow(_covered(names, types), _CANDIDATES)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in blocks(batches, "value"):
+        pairs = ((d, part) for d, value in zip(*(block.column(c).to_pylist() for c in ("sha256", "value"))) for part in substrings(value))
+        while rows := list(islice(pairs, 1 << 16)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["sha256", "word"])
+
+
+def _with_own_words(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``found`` with the dictionary words among the substrings of each value (_words)."""
+    values = found.select("sha256", "value").distinct()
+    own = values.mapInArrow(_parts, "sha256 string, word string").join(words, "word")
+    return found.join(own.groupBy("sha256").agg(F.collect_set("word").alias("_words")), "sha256", "left")
+
+
+def _covered(names: list[str], types: list[pa.DataType]):
+    place = FEATURES.index("coverage")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        language = Language(set(), {})
+        for batch in batches:
+            rows = batch.select([*names, "value", "_words"]).to_pylist()
+            for r in rows:
+                r["features"][place] = language.coverage(r["value"], set(r["_words"] or ()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in zip(names, types)], names=names)
+
+    return run
 
 
 def fit_forest(found: DataFrame, labelled: DataFrame, rows_per_class: int, trees: int) -> list[tuple]:
@@ -206,10 +265,12 @@ def fit_forest(found: DataFrame, labelled: DataFrame, rows_per_class: int, trees
 
 
 def scan_secrets(
-    docs: DataFrame, findings: DataFrame | None = None, rows_per_class: int = ROWS_PER_CLASS, trees: int = TREES
-) -> DataFrame:
+    docs: DataFrame, findings: DataFrame | None = None, rows_per_class: int = ROWS_PER_CLASS, trees: int = TREES,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """One row per candidate: doc_id, start, length (characters), sha256 of the value, score and is_secret."""
-    found = written(candidates(docs, learn_language(docs)), "secret-candidates")
+    language, words = learn_language(docs, broadcast_bytes)
+    found = written(candidates(docs, language, words), "secret-candidates")
     if findings is None:
         labelled = found.filter(~held_out()).withColumn("label", F.col("rule"))
     else:
