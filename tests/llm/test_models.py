@@ -168,3 +168,17 @@ def test_secret_dictionary_covers_all_texts(spark):
     assert one == other and len(one) >= 3002
     place = secrets.FEATURES.index("coverage")
     assert {r[3][place] for r in one if r[0] == 5000} == {14 / 16}
+
+
+def test_secret_candidates_of_any_form():
+    cases = {
+        'password = "S3cr3t!9"': "S3cr3t!9", "pwd=hunter2": "hunter2", "secret: Tr0ub4dor&3 and": "Tr0ub4dor&3",
+        "db_password_prod = 'a b c'": "a b c", '{"apiKey": "x$y%z"}': "x$y%z", "token=abcdefgh12345678!tail#9 end": "abcdefgh12345678!tail#9",
+        "?token=abc1&user=me": "abc1", "DB_PASSWORDS := p4ss,": "p4ss",
+    }
+    for text, value in cases.items():
+        assert [(text.index(value), value, True)] == [(a, v, assigned) for a, v, _, _, assigned in secrets.find(text)], text
+    assert not [c for t in ("monkey: banana", "keyboard: new", "author: Ann", "password == x") for c in secrets.find(t)]
+    assert not secrets.rule_judges("9f86d081884c7d659a2feaa0c55ad015", "the id ", False)
+    assert not secrets.rule_judges("Q8zR-x2Lm9", "db_password_prod = ", True)
+    assert secrets.rule_judges("river-stone-2024", "see ", False) and secrets.rule_judges("2024-01-02-1200", "on ", False)

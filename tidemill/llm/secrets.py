@@ -1,6 +1,7 @@
 """Secret scan: candidate strings, with a random forest that removes the false findings.
 
-Candidates are runs of at least ``LEAST`` key characters that hold a digit or are assigned a value (``name = value``). Each is
+Candidates are runs of at least ``LEAST`` key characters that hold a digit or are assigned a value (``name = value``), and
+every value assigned to a name with a credential word in it, quoted or up to the next blank, of any length and signs. Each is
 described by its length, shares of character classes, class changes, entropy, the mean log-probability of its character
 transitions under ordinary words, the share of it covered by dictionary words, what stands around it (quotes, assignment,
 credential words before, hashes of the neighbouring words) and its path (the source column).
@@ -12,7 +13,8 @@ is broadcast where its counted size fits; beyond that the substrings of the cand
 gets its own words. Forest and findings sample are of bounded size and broadcast; scoring is a map over the scan.
 
 Without reviewed findings (``findings=None``) labels are made by rule: a provider's key format, or a value of some entropy
-assigned right after a credential word, is true, any other candidate false; only documents outside the held-out fifth count.
+assigned right after a credential word, is true; numbers and ordinary words joined by signs are false, unless a credential
+word stands before the assignment; what the rule cannot judge is not labelled. Only documents outside the held-out fifth count.
 
 Defined results: null and empty texts have no candidates; several labels of one finding count as true if one is; with labels
 of one class only all scores are 1 or 0, with none 0; rows that repeat are scanned again; an empty table gives no rows; only
@@ -51,6 +53,13 @@ _WORDS = re.compile(r"[^\W_]+")
 _LETTERS = re.compile(r"(?<!\w)[a-z]{3,}(?!\w)")  # whole words: parts of random strings would fill the dictionary
 CREDENTIALS = "password passwd pwd secret token key apikey auth credential bearer access private".split()
 PROVIDER_KEY = re.compile(r"AKIA[0-9A-Z]{16}$|gh[pousr]_[0-9A-Za-z]{36}$|xox[abprs]-[0-9A-Za-z-]{20,}$|AIza[0-9A-Za-z_-]{35}$")
+_CREDENTIAL = re.compile("|".join(sorted(CREDENTIALS, key=len, reverse=True)), re.I)
+# What follows a credential word up to the value: the rest of the name, its quote or bracket, the sign, an opening quote.
+_VALUE = re.compile(
+    r"""[\w.-]{0,64}["'\]]{0,2}[ \t]*(?::=|=>|[=:](?!=))[ \t]*(?:"((?:[^"\\\n]|\\.)+)"|'((?:[^'\\\n]|\\.)+)'|["']?((?:(?!&\w+=)[^\s])+))"""
+)
+_SEGMENT = r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*\d{0,4}|[A-Z]+\d{0,4}|\d{1,4})"
+_ORDINARY = re.compile(rf"[\d+/_=-]+|{_SEGMENT}(?:[+/_=-]+{_SEGMENT})*[+/_=-]*")
 _PATHS = re.compile(r"test|example|sample|mock|docs?\b|fixture", re.I)
 
 FEATURES = (
@@ -80,7 +89,7 @@ class Language:
 
     def transitions(self, value: str) -> float:
         codes = [ord(c) - 97 if "a" <= c <= "z" else 26 for c in value.lower()]
-        return float(np.mean([self.logs[a, b] for a, b in zip(codes, codes[1:])]))
+        return float(np.mean([self.logs[a, b] for a, b in zip(codes, codes[1:])])) if len(codes) > 1 else 0.0
 
     def coverage(self, value: str, words: set[str] | None = None) -> float:
         """Share of the characters that a greedy longest match with dictionary words (3 letters or more) covers."""
@@ -100,15 +109,41 @@ def substrings(value: str) -> Iterator[str]:
                 yield run.string[i : i + n]
 
 
+def _credential_values(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the values assigned to names with a credential word, in order, not overlapping."""
+    found, end = [], 0
+    for word in _CREDENTIAL.finditer(text):
+        left, right = text[word.start() - 1 : word.start()], text[word.end() : word.end() + 2]
+        if word.start() < end or (left.isalpha() and not (left.islower() and word[0][0].isupper())):
+            continue  # inside another word, as in "monkey"
+        if right[:1].isalpha() and not (right[0] in "sS" and not right[1:].isalpha()) and not (word[0][-1].islower() and right[0].isupper()):
+            continue  # the beginning of another word, as in "keyboard"
+        if m := _VALUE.match(text, word.end()):
+            group = next(g for g in (1, 2, 3) if m[g] is not None)
+            start, stop = m.span(group)
+            if group == 3:
+                stop = start + len(m[3].rstrip(",;.)]}>\"'`"))
+            if stop > start:
+                found.append((start, stop))
+                end = stop
+    return found
+
+
 def find(text: str | None) -> list[tuple[int, str, str, str, bool]]:
     """(start, value, text before, text after, assigned) of every candidate."""
-    found = []
-    for m in _CANDIDATE.finditer(text or ""):
-        before = text[max(0, m.start() - 48) : m.start()]
-        assigned = _ASSIGNED.search(before) is not None
+    if not text:
+        return []
+    spans = [(a, b, True) for a, b in _credential_values(text)]
+    values, at = len(spans), 0
+    for m in _CANDIDATE.finditer(text):
+        while at < values and spans[at][1] <= m.start():
+            at += 1
+        if at < values and spans[at][0] < m.end():  # a part of such a value
+            continue
+        assigned = _ASSIGNED.search(text[max(0, m.start() - 48) : m.start()]) is not None
         if assigned or any(c.isdigit() for c in m[0]):
-            found.append((m.start(), m[0], before, text[m.end() : m.end() + 32], assigned))
-    return found
+            spans.append((m.start(), m.end(), assigned))
+    return [(a, text[a:b], text[max(0, a - 48) : a], text[b : b + 32], assigned) for a, b, assigned in sorted(spans)]
 
 
 def describe(value: str, before: str, after: str, assigned: bool, path: str | None, language: Language) -> list[float]:
@@ -128,7 +163,17 @@ def describe(value: str, before: str, after: str, assigned: bool, path: str | No
 
 def rule_label(value: str, before: str, assigned: bool) -> bool:
     words = [w.lower() for w in _WORDS.findall(before)]
-    return bool(PROVIDER_KEY.match(value)) or (assigned and words[-1:] != [] and words[-1] in CREDENTIALS and _entropy(value) > 2.5)
+    mixed = len(value) >= LEAST or (any(map(str.isdigit, value)) and any(map(str.isalpha, value)))
+    named = assigned and words[-1:] != [] and words[-1] in CREDENTIALS
+    return bool(PROVIDER_KEY.match(value)) or (named and mixed and " " not in value and _entropy(value) > 2.5)
+
+
+def rule_judges(value: str, before: str, assigned: bool) -> bool:
+    """Whether the rule can tell: a false finding is ordinary by its own form, and not assigned to a credential."""
+    if rule_label(value, before, assigned):
+        return True
+    named = assigned and any(_CREDENTIAL.search(w) for w in _WORDS.findall(before)[-3:])
+    return not named and _ORDINARY.fullmatch(value) is not None
 
 
 def grow(x: np.ndarray, y: np.ndarray, rng: np.random.Generator, depth: int = DEPTH) -> tuple:
@@ -202,7 +247,8 @@ def candidates(docs: DataFrame, language: Language, words: DataFrame | None = No
                     digest = hashlib.sha256(value.encode()).hexdigest()
                     features = describe(value, before, after, assigned, path, shared.value)
                     own = (value,) if keep else ()
-                    rows.append((doc_id, tie, start, len(value), digest, rule_label(value, before, assigned), features, *own))
+                    rule = rule_label(value, before, assigned) if rule_judges(value, before, assigned) else None
+                    rows.append((doc_id, tie, start, len(value), digest, rule, features, *own))
             columns = list(zip(*rows)) or [()] * (len(names) + keep)
             own_types = [*types, pa.string()] if keep else types
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, own_types)], names=[*names, "value"][: len(own_types)])
@@ -272,7 +318,7 @@ def scan_secrets(
     language, words = learn_language(docs, broadcast_bytes)
     found = written(candidates(docs, language, words), "secret-candidates")
     if findings is None:
-        labelled = found.filter(~held_out()).withColumn("label", F.col("rule"))
+        labelled = found.filter(~held_out() & F.col("rule").isNotNull()).withColumn("label", F.col("rule"))
     else:
         marks = findings.groupBy("doc_id", "start").agg(F.max(F.col("label").cast("boolean")).alias("label"))
         labelled = found.join(marks.filter("label IS NOT NULL"), ["doc_id", "start"])
