@@ -68,3 +68,11 @@ def test_decimal_money(spark):
     df = c.latest_state(_log(spark), "order_id", c.with_decimal_money(c.ORDER_FIELDS), now=moment(NOW))
     assert df.schema["total_amount"].dataType.simpleString() == "decimal(12,2)"
     assert str(df.filter("order_id = 1").first().total_amount) == "12.50"
+
+
+def test_empty_object_with_many_blanks(spark):
+    padded, held = "{" + " \n" * 60 + "}", '{"a": "' + " " * 90 + '"}'
+    rows = [("orders", "u", padded, held, 0), ("orders", "u", held, "{ }", 1)]
+    events = spark.createDataFrame(rows, "table_name string, op string, before string, after string, ts_ms long")
+    out = c.cdc_to_row(events, now=moment(NOW)).orderBy("cdc_timestamp").collect()
+    assert [(r.before_data, r.after_data, r.raw_payload) for r in out] == [(None, held, held), (held, None, held)]

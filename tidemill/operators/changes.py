@@ -103,9 +103,8 @@ def cdc_operation_label(op: Column) -> Column:
 
 
 def _document(text: Column) -> Column:
-    """JSON text, or NULL when it is absent or an empty object. Only short texts can be an empty object with blanks."""
-    bare = F.when(F.length(text) <= 64, F.translate(text, " \t\r\n", "")).otherwise(F.btrim(text))
-    return F.when(bare != "{}", text)
+    """JSON text, or NULL when it is absent or an empty object, with any number of blanks."""
+    return F.when(F.translate(text, " \t\r\n", "") != "{}", text)
 
 
 def cdc_to_row(events: DataFrame, now: Column | None = None) -> DataFrame:
