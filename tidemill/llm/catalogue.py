@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemill.llm import exact_dedup, fingerprints, langid, mixing, ngram_join, packing, pii, secrets, suffix_dedup, toxicity
+from tidemill.llm import (
+    conversations,
+    exact_dedup,
+    fingerprints,
+    langid,
+    merkle,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES = {
     f.__name__: f
@@ -18,7 +32,10 @@ QUERIES = {
         packing.op8_pack_sequences,
         langid.op9_language_id,
         ngram_join.op10_ngram_join,
+        merkle.op11_merkle_manifest,
+        conversations.op12_conversation_repair,
+        quality.op13_quality,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL}

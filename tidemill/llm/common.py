@@ -19,12 +19,14 @@ BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 # A side may be broadcast only when its rows, with what a hash table takes for each, stay below this in memory.
 BROADCAST_BYTES = 64 << 20
 HASH_ROW_BYTES = 80
-# Bytes of text handled at once inside a task.
-BLOCK_BYTES = 4 << 20
+# Bytes of text handled at once inside a task, and in one Arrow batch on its way there.
+BLOCK_BYTES = 1 << 20
 
 
 def importable(spark: SparkSession) -> None:
-    """Lets Python workers that start on this machine import the package; a cluster ships it to its executors."""
+    """Lets Python workers that start on this machine import the package (a cluster ships it to its executors), and bounds
+    Arrow batches by bytes, so that long texts do not meet by the thousand in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * BLOCK_BYTES))
     known = spark.sparkContext.environment
     here = str(Path(__file__).resolve().parents[2])
     if here not in known.get("PYTHONPATH", "").split(":"):
