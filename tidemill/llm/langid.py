@@ -28,6 +28,7 @@ BITS = 16
 GRAMS = (1, 2, 3)
 ROWS_PER_LANG = 1000
 MAX_LANGS = 400
+COUNT_TASKS = 8
 UNDETERMINED = "und"
 
 _FACTORS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
@@ -89,8 +90,8 @@ def fit_counts(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> dict[str,
         for lang, total in totals.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "counts": [total.astype("<u4").tobytes()]})
 
-    # A language's rows come from the whole table; few tasks keep the number of count vectors small.
-    partial = sample.coalesce(8).mapInArrow(count, "lang string, counts binary").collect()
+    # The sample is bounded; dealt to few tasks, it gives few count vectors. The scan below keeps its own tasks.
+    partial = sample.repartition(COUNT_TASKS).mapInArrow(count, "lang string, counts binary").collect()
     sums: dict[str, np.ndarray] = {}
     for row in partial:
         sums[row.lang] = sums.get(row.lang, 0) + np.frombuffer(row.counts, "<u4").astype(np.int64)

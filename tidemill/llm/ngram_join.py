@@ -12,9 +12,10 @@
    Nodes already in one component are not compared again.
 5. The rest: shingles inside one family are done with. A node can have a link out of its family only if k of its prefix
    shingles lie in other families too; nodes that pass (twice over) are tied and searched in the same way.
-6. A group too large for a task is cut into blocks. Rounds of query nodes (twice as many each round, bounded) are
-   searched against all blocks; nodes of the largest component so far need no search of their own. It ends when every
-   node was searched or belongs to that component, so no link between components is lost.
+6. A group too large for a task is cut into blocks, bounded in rows and in shingles, of sets of similar size. Rounds of
+   query nodes (twice as many each round) are streamed past the blocks whose sizes they can meet; nodes of the largest
+   component so far need no search of their own. It ends when every node was searched or belongs to that component, so no
+   link between components is lost.
 
 Defined results: null and empty texts and texts of blanks have an empty set and link with nothing; a text with fewer
 words than a shingle is one shingle; rows that repeat a text share its component; a null doc_id is never a component id
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.keyed import top_per_key
@@ -44,6 +45,7 @@ COMMON_LIMIT = 200_000
 GROUP_ROWS = 20_000
 GROUP_SHINGLES = 3_000_000
 BLOCK_ROWS = 1000
+BLOCK_SHINGLES = 1_000_000
 FIRST_QUERIES = 256
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -228,45 +230,54 @@ def _search_groups(percent: int):
 
 
 def _search_blocks(percent: int):
-    """Query sets (is_query, sorted first) against the other sets of each block; links of one block per key."""
+    """Query sets against the other sets of each block, which come first; queries are streamed past the block's index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, queries, nodes, sets = None, [], [], []
-
-        def finish() -> pa.RecordBatch:
-            index, pairs = Index(sets, percent), []
-            ids = np.array(nodes, np.int64)
-            for node, own in queries:
-                pairs += [(node, int(ids[j])) for j in index.search(own, ids != node).tolist()]
-            u, v = zip(*pairs) if pairs else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
+        block, nodes, sets, index, ids, u, v = None, [], [], None, None, [], []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("root", "block", "is_query", "node", "shingles")]
             for root, number, is_query, node, blob in zip(*columns):
                 if (root, number) != block:
-                    if queries and nodes:
-                        yield finish()
-                    block, queries, nodes, sets = (root, number), [], [], []
-                if is_query:
-                    queries.append((node, np.frombuffer(blob, np.uint64)))
-                else:
+                    block, nodes, sets, index = (root, number), [], [], None
+                own = np.frombuffer(blob, np.uint64)
+                if not is_query:
                     nodes.append(node)
-                    sets.append(np.frombuffer(blob, np.uint64))
-        if queries and nodes:
-            yield finish()
+                    sets.append(own)
+                elif sets:
+                    if index is None:
+                        index, ids = Index(sets, percent), np.array(nodes, np.int64)
+                    hits = ids[index.search(own, ids != node)].tolist()
+                    u += [node] * len(hits)
+                    v += hits
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+                u, v = [], []
 
     return run
 
 
-def _link_large(sets: DataFrame, percent: int, block_rows: int, first_queries: int) -> DataFrame:
-    """Links of groups that are cut into blocks; ``sets`` has root, node, label, shingles and is a written table."""
-    size = sets.groupBy("root").agg(F.count("*").alias("_rows"))
-    size = written(size.withColumn("_blocks", F.ceil(F.col("_rows") / block_rows).cast("int")), "join-blocks")
-    dealt = sets.join(side(size, 32), "root").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
-    )
-    every_block = size.select("root", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("block"))
+def _size_band(size: Column, percent: int) -> Column:
+    """Sets that can be alike are in the same band or in neighbouring ones."""
+    if percent >= 100:
+        return size.cast("bigint")
+    return F.floor(F.log(size.cast("double")) / F.lit(math.log(100 / percent)) + 1e-9).cast("bigint")
+
+
+def _link_large(sets: DataFrame, percent: int, block_rows: int, block_shingles: int, first_queries: int) -> DataFrame:
+    """Links of groups that are cut into blocks; ``sets`` has root, node, label, shingles and is a written table.
+
+    A block holds sets of one size band, bounded in rows and in shingles; a query visits the blocks of its own band and of
+    the next ones below and above, as no others can reach the threshold.
+    """
+    size = F.octet_length("shingles") / 8
+    bands = sets.groupBy("root", _size_band(size, percent).alias("band")).agg(F.count("*").alias("_rows"), F.sum(size).alias("_all"))
+    blocks_of = F.greatest(F.ceil(F.col("_rows") / block_rows), F.ceil(F.col("_all") / block_shingles)).cast("int")
+    bands = written(bands.select("root", "band", blocks_of.alias("_blocks")), "join-blocks")
+    banded = sets.withColumn("band", _size_band(size, percent))
+    place = F.struct(F.col("band").alias("band"), F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int").alias("part"))
+    dealt = banded.join(side(bands, 32), ["root", "band"]).withColumn("block", place)
+    parts = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("part")
+    every_block = bands.select("root", "band", parts).select("root", "band", F.struct("band", "part").alias("block"))
     links = written(sets.filter("node != label").select(F.col("node").alias("u"), F.col("label").alias("v")), "join-links")
     searched, count = None, first_queries
     while True:
@@ -282,16 +293,19 @@ def _link_large(sets: DataFrame, percent: int, block_rows: int, first_queries: i
         queries = written(queries.select("root", "node"), "join-queries")  # count rows of each group at most
         if not queries.limit(1).count():
             return links
-        asked = sets.join(side(queries, 16), ["root", "node"], "left_semi").join(every_block, "root")
+        asked = banded.join(side(queries, 16), ["root", "node"], "left_semi")
+        near = F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band")
+        asked = asked.select("root", "node", "shingles", near).join(every_block, ["root", "band"])
         columns = ["root", "block", "is_query", "node", "shingles"]
         work = asked.withColumn("is_query", F.lit(True)).select(*columns)
         work = work.unionByName(dealt.withColumn("is_query", F.lit(False)).select(*columns))
-        work = work.repartition("root", "block").sortWithinPartitions("root", "block", F.desc("is_query"))
+        work = work.repartition("root", "block").sortWithinPartitions("root", "block", "is_query")
+        work = work.withColumn("block", F.to_json("block"))
         found = written(work.mapInArrow(_search_blocks(percent), "u bigint, v bigint"), "join-links")
         links = links.unionByName(found)
         now = queries.select("node")
         searched = now if searched is None else searched.unionByName(now)
-        count = min(2 * count, block_rows)
+        count *= 2
 
 
 def _tied(entries: DataFrame, percent: int) -> DataFrame:
@@ -312,6 +326,7 @@ def ngram_components(
     group_rows: int = GROUP_ROWS,
     group_shingles: int = GROUP_SHINGLES,
     block_rows: int = BLOCK_ROWS,
+    block_shingles: int = BLOCK_SHINGLES,
     first_queries: int = FIRST_QUERIES,
 ) -> DataFrame:
     """One row per document: doc_id, row_hash, n_shingles and component_id."""
@@ -384,7 +399,7 @@ def ngram_components(
         if totals.filter("NOT small").limit(1).count():
             large = of_nodes(wanted.filter("NOT small").drop("small")).mapInArrow(full, shipped)
             large = written(large.dropDuplicates(["node"]), "join-large")
-            found = found.unionByName(_link_large(large, percent, block_rows, first_queries))
+            found = found.unionByName(_link_large(large, percent, block_rows, block_shingles, first_queries))
         return found
 
     ties = entries.filter("u != node").groupBy("u", F.col("node").alias("v")).agg(
