@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import documents, importable, repeat_rows, written
+from tidemill.llm.common import documents, importable, repeat_rows, row_hash, written
 from tidemill.llm.exact_dedup import exact_dedup
 from tidemill.llm.langid import UNDETERMINED, identify
 from tidemill.llm.mixing import mix
@@ -30,7 +30,9 @@ MIN_LANGUAGE_SCORE = 0.5
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     known = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return identify(docs, carry=tuple(docs.columns)).filter(known).select(*docs.columns)
+    rows = docs.select("doc_id", "text", "lang", row_hash().alias("row_hash"))
+    found = identify(rows, carry=("doc_id", "row_hash"))
+    return repeat_rows(docs, found.select("doc_id", "row_hash", known.cast("int").alias("copies")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
