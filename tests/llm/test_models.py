@@ -182,3 +182,41 @@ def test_secret_candidates_of_any_form():
     assert not secrets.rule_judges("9f86d081884c7d659a2feaa0c55ad015", "the id ", False)
     assert not secrets.rule_judges("Q8zR-x2Lm9", "db_password_prod = ", True)
     assert secrets.rule_judges("river-stone-2024", "see ", False) and secrets.rule_judges("2024-01-02-1200", "on ", False)
+
+
+def test_toxicity_in_a_script_without_blanks():
+    rng = np.random.default_rng(2)
+    signs = [chr(0x4E00 + i) for i in range(300)]
+    texts, labels = [], []
+    for i in range(400):
+        run = "".join(rng.choice(signs, 120))
+        labels.append(int(i % 2))
+        if i % 2:
+            at = rng.integers(100)
+            run = run[:at] + rng.choice(["恶毒", "蠢货"]) + run[at:]
+        texts.append(run.encode())
+    body, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    hashes, first, end = toxicity.word_hashes(body, offsets)
+    assert (end - first >= 120).all()
+    model = toxicity.train([(hashes[a:b], y) for a, b, y in zip(first[:300], end, labels)])
+    right = (model.logits(hashes, first, end)[300:] > 0) == (np.array(labels[300:]) == 1)
+    assert right.mean() > 0.9
+
+
+def test_toxicity_words_by_plain_loops():
+    texts = ["Écoles, straßenbahnhaltestelle x", "", "你好 abcdefghi", "ab́c \U00020000d 1 2"]
+    body = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *[len(t.encode()) for t in texts]])
+    hashes, first, end = toxicity.word_hashes(body, offsets)
+
+    def alone(word):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        return toxicity.word_hashes(raw, np.array([0, len(raw)]))[0]
+
+    want = [["écoles", "straßenbahnhaltestelle", "x"], [], ["你", "好", "abcdefghi"], ["ab́c", "\U00020000", "d"]]
+    for words, a, b in zip(want, first, end):
+        plain = [row for w in words for row in alone(w)[: -toxicity._GAP]]
+        assert np.array_equal(hashes[a : a + len(plain)], np.array(plain).reshape(-1, toxicity.COLUMNS)) and b == a + max(len(plain), 1)
+    found = alone("straßenbahnhaltestelle")[:, 1:]
+    grams = {w[i : i + n] for w in ["straßenbahnhaltestelle"] for n in toxicity.GRAMS for i in range(len(w) - n + 1)}
+    assert len(set(found[found != 0].tolist())) == len(grams)
