@@ -72,3 +72,22 @@ def test_labels_differ_and_phrases_are_short():
     wide = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
     labels = f._labels(wide, np.array([0]))
     assert labels.max() < 6 and (labels[1:] != labels[:-1]).all()
+
+
+def test_likeness_does_not_jump_with_length():
+    rng = np.random.default_rng(8)
+    found = {}
+    for a, b in ((197, 199), (199, 200), (199, 201)):
+        near = []
+        for _ in range(60):
+            text = bytes(rng.choice(np.frombuffer(b"abcdefghij klmnop", np.uint8), b))
+            two = f._sketch_texts([text[:a], text])
+            near.append(f.likeness(two[:1], two[1:])[0])
+        found[a, b] = np.mean(near)
+    assert max(found.values()) - min(found.values()) < 0.05 and min(found.values()) > 0.8
+
+
+def test_rows_that_repeat(spark):
+    rows = [(5, "the same text")] * 400 + [(6, "another"), (4, "last")]
+    found = f.fingerprints(frame(spark, rows), rows_per_part=50).collect()
+    assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in found) == sorted(brute_edits(sorted(rows, key=lambda r: -r[0])))

@@ -6,11 +6,12 @@ are below 6 and neighbours still differ; phrases begin at local maxima, at most
 hash of its units, and the names are the next level's symbols. Where a phrase begins depends on a few symbols around it
 only, so equal substrings are cut alike away from their ends, wherever they stand.
 
-The fingerprint keeps, for each of ``SLOTS`` classes of names, 16 bits of the least name of levels 2 and up (of level 1
-too for texts below ``SHORT`` bytes). The likeness of two fingerprints is the share of equal slots among those used.
+The fingerprint keeps, for each of ``SLOTS`` classes of names, 16 bits of the least name: ``LOW_SLOTS`` classes are of
+level 1, the others of levels 2 and up, for texts of any length. The likeness of two fingerprints is the share of equal slots
+among those used.
 
 Scale: texts are dealt once by ranges of doc_id, sorted, and read as a stream; each meets the next one there. The ends of
-ranges (one row per partition) are paired afterwards.
+ranges (two rows per partition) are ranked and paired by joins afterwards.
 
 Defined results: a null text counts as empty; empty texts have the fingerprint without names, like only to itself; order is
 by descending doc_id, nulls last, then text hash; a table of one row is its own next; an empty table gives no rows; no
@@ -28,10 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import _BASE, _powers, blocks, documents, mix64, row_hash, text_or_empty, written
+from tidemill.llm.common import _BASE, _powers, blocks, documents, mix64, row_hash, side, text_or_empty, written
+from tidemill.llm.ranks import ranked
 
 SLOTS = 64
-SHORT = 200
+LOW_SLOTS = 16
 LEVELS = 12
 _EMPTY = 0xFFFF
 
@@ -102,7 +104,7 @@ def parse(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def sketches(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """SLOTS 16-bit values for each text."""
+    """SLOTS 16-bit values for each text: LOW_SLOTS of the phrases of level 1, the others of higher levels."""
     n = len(offsets) - 1
     least = np.full(n * SLOTS, np.uint64(0xFFFFFFFFFFFFFFFF))
     sizes = np.diff(offsets)
@@ -114,10 +116,11 @@ def sketches(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         symbols, first, _ = parse(symbols, first)
         counts = np.diff(np.concatenate([first, [len(symbols)]]))
         doc = np.repeat(owners, counts)
-        used = symbols if level > 1 else symbols[sizes[doc] < SHORT]
-        doc = doc if level > 1 else doc[sizes[doc] < SHORT]
-        mixed = mix64(used + np.uint64(level))
-        np.minimum.at(least, doc * SLOTS + (mixed & np.uint64(SLOTS - 1)).astype(np.int64), mixed)
+        mixed = mix64(symbols + np.uint64(level))
+        # The slots of the shortest phrases are kept apart, so that short and long texts are compared alike.
+        low, span = (0, LOW_SLOTS) if level == 1 else (LOW_SLOTS, SLOTS - LOW_SLOTS)
+        slot = low + ((mixed >> np.uint64(32)) % np.uint64(span)).astype(np.int64)
+        np.minimum.at(least, doc * SLOTS + slot, mixed)
         more = counts > 1
         if not more.all():
             kept = np.repeat(more, counts)
@@ -207,33 +210,41 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(compare([(*key, text, two[0])], (None, None, other, two[1])), None, "row")
 
 
+def _edge_pairs(edges: DataFrame) -> DataFrame:
+    """(a, a_tie, b, b_tie): the last row of every partition and the first row of the next one that has any; after the last
+    partition comes the first. ``edges`` has two rows per partition."""
+    lasts = edges.filter("role = 'last'").select("part", F.col("doc_id").alias("a"), F.col("tie").alias("a_tie"))
+    firsts = edges.filter("role = 'first'").select("part", F.col("doc_id").alias("b"), F.col("tie").alias("b_tie"))
+    numbers = ranked(firsts.withColumn("every", F.lit(0)), "every", ["part"])
+    numbers = written(numbers.select("part", "_rank", "_size", "b", "b_tie"), "edge-ranks")
+    following = numbers.select(F.col("_rank").alias("_next"), "b", "b_tie")
+    own = lasts.join(numbers.select("part", ((F.col("_rank") + 1) % F.col("_size")).alias("_next")), "part")
+    return written(own.join(following, "_next").select("a", "a_tie", "b", "b_tie"), "edge-pairs")
+
+
 def fingerprints(docs: DataFrame, rows_per_part: int = 10_000) -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("bigint"), row_hash().alias("tie"), text_or_empty().alias("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // rows_per_part))
-    dealt = texts.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The row number cuts rows that repeat an id and a text over several partitions.
+    dealt = texts.withColumn("_row", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(parts, *order, "_row").sortWithinPartitions(*order, "_row").drop("_row")
     found = written(dealt.mapInArrow(_stream, f"{_RESULT}, part bigint, role string"), "fingerprints")
-    # Two rows per partition: the last row of one is followed by the first of the next that has any.
-    edges = found.filter("role != 'row'").select("part", "role", "doc_id", "tie").orderBy("part", "role").collect()
-    firsts, lasts = ([e for e in edges if e.role == role] for role in ("first", "last"))
-    pairs = [(a.doc_id, a.tie, b.doc_id, b.tie) for a, b in zip(lasts, firsts[1:] + firsts[:1])]
     result = found.filter("role = 'row'").select(*_NAMES)
-    if pairs:
-        wanted = spark.createDataFrame(pairs, "a bigint, a_tie bigint, b bigint, b_tie bigint")
-        keys = spark.createDataFrame(sorted({p[:2] for p in pairs} | {p[2:] for p in pairs}, key=repr), "id bigint, hash bigint")
-        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash"))
-        # At most two rows for each partition.
-        ends = texts.join(F.broadcast(keys), same).dropDuplicates(["id", "hash"]).select("id", "hash", "text")
-        left = ends.toDF("a_id", "a_hash", "text")
-        right = ends.toDF("b_id", "b_hash", "next_text")
-        joined = wanted.join(left, F.col("a").eqNullSafe(F.col("a_id")) & (F.col("a_tie") == F.col("a_hash")))
-        joined = joined.join(right, F.col("b").eqNullSafe(F.col("b_id")) & (F.col("b_tie") == F.col("b_hash")))
-        rest = joined.select(F.col("a").alias("doc_id"), F.col("a_tie").alias("tie"), "text", "next_text")
-        result = result.unionByName(
-            rest.mapInArrow(_ends, f"{_RESULT}, part bigint, role string").select(*_NAMES)
-        )
+    pairs = _edge_pairs(found.filter("role != 'row'").select("part", "role", "doc_id", "tie"))
+    keys = pairs.selectExpr("a AS id", "a_tie AS hash").union(pairs.select("b", "b_tie")).distinct()
+    keys = written(keys, "edge-keys")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash"))
+    ends = texts.join(side(keys, 24), same).dropDuplicates(["id", "hash"]).select("id", "hash", "text")
+    ends = written(ends, "edge-texts")  # two texts for each partition at most
+    left = ends.toDF("a_id", "a_hash", "text")
+    right = ends.toDF("b_id", "b_hash", "next_text")
+    joined = pairs.join(left, F.col("a").eqNullSafe(F.col("a_id")) & (F.col("a_tie") == F.col("a_hash")))
+    joined = joined.join(right, F.col("b").eqNullSafe(F.col("b_id")) & (F.col("b_tie") == F.col("b_hash")))
+    rest = joined.select(F.col("a").alias("doc_id"), F.col("a_tie").alias("tie"), "text", "next_text")
+    result = result.unionByName(rest.mapInArrow(_ends, f"{_RESULT}, part bigint, role string").select(*_NAMES))
     codes = {c: F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")}
     return result.select(*[codes.get(c, F.col(c)) for c in _NAMES if c != "tie"])
 
