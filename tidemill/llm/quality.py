@@ -47,8 +47,8 @@ ROUNDS = 4
 
 WORDS, TERMS = 1 << WORD_BITS, (1 << WORD_BITS) + (1 << SHAPE_BITS)
 _SAME_WORD, _SAME_LINE = 0, 1  # buckets of repeats; words take the others
-_BLOCK = 1 << 19
-_DOCS = 512
+_BLOCK = 1 << 17
+_DOCS = 128
 _PIECE = 1 << 18
 
 _BLANK = np.zeros(256, bool)
@@ -137,6 +137,11 @@ def term_counts(texts: list[str | None]) -> np.ndarray:
     """How often each text has each term: words and repeats first, then shapes. Long texts are read in pieces of ``_PIECE``
     characters; a term does not cross the end of a piece."""
     total, owners, pieces, size = np.zeros((len(texts), TERMS), np.float32), [], [], 0
+
+    def add() -> None:
+        own, first = np.unique(owners, return_index=True)
+        total[own] += np.add.reduceat(_counts(pieces), first) if len(own) < len(owners) else _counts(pieces)
+
     for i, text in enumerate(texts):
         text = text or ""
         for a in range(0, len(text), _PIECE):
@@ -144,10 +149,10 @@ def term_counts(texts: list[str | None]) -> np.ndarray:
             pieces.append(text[a : a + _PIECE])
             size += len(pieces[-1])
             if size >= _PIECE:
-                np.add.at(total, owners, _counts(pieces))
+                add()
                 owners, pieces, size = [], [], 0
     if pieces:
-        np.add.at(total, owners, _counts(pieces))
+        add()
     return total
 
 
