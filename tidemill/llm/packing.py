@@ -42,7 +42,7 @@ FORCED_PENALTY = 24
 SEQUENCE_PENALTY = 16
 STRIDE = 64
 BLOCK_TOKENS = 1 << 20
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 LEAST_POWER = 5
 # The split pattern of the vocabulary's own file, used only to count the pieces of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
