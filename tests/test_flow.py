@@ -208,3 +208,56 @@ def test_quality_job_stores_before_it_stops(spark, sf, tmp_path):
     fine = checks_frame.withColumn("status", F.lit("PASS"))
     daily.run_quality_checks(lake, fine)
     assert lake.read("monitoring", "data_quality_checks").count() == 2
+
+
+def _stopped_after(steps, n):
+    """Runs the first n steps; whether there was another one."""
+    for k, _ in enumerate(steps, 1):
+        if k == n:
+            return True
+    return False
+
+
+@pytest.mark.parametrize("dated", [True, False])
+def test_a_merge_stopped_after_any_step_keeps_every_row(spark, tmp_path, dated):
+    n, more = 0, True
+    while more:
+        n += 1
+        path = f"{tmp_path}/{n}"
+        for batch in range(3):
+            rows = spark.range(batch * 10, batch * 10 + 5).withColumn("cdc_date", F.lit("2024-01-01"))
+            sinks.write_batch(rows, path, batch, ("cdc_date",) if dated else ())
+        root, fs = sinks._filesystem(spark, f"{path}/cdc_date=2024-01-01" if dated else path)
+        more = _stopped_after(sinks.merge_steps(spark, fs, root, sinks._batches(fs, root)), n)
+        if n % 2:
+            found = sinks.read_batches(spark, path)
+        elif dated:
+            sinks.compact_batches(spark, path, "2100-01-01")
+            found = spark.read.parquet(path)
+        else:
+            sinks.compact_dead_letters(spark, path, 2)
+            found = spark.read.parquet(path)
+        assert sorted(r.id for r in found.collect()) == sorted(b * 10 + k for b in range(3) for k in range(5))
+        # what was merged can be merged again with what came later
+        sinks.write_batch(spark.range(90, 92).withColumn("cdc_date", F.lit("2024-01-01")), path, 7, ("cdc_date",) if dated else ())
+        sinks.compact_batches(spark, path, "2100-01-01") if dated else sinks.compact_dead_letters(spark, path, 8)
+        assert sinks.read_batches(spark, path).count() == 17
+        assert len(sinks._batches(fs, root)) == 1
+    assert n > 6
+
+
+def test_an_expiry_stopped_after_any_step_keeps_every_row(spark, tmp_path):
+    rows = spark.range(40).selectExpr("id", "timestamp_seconds(1704067200 + id * 86400) as event_timestamp")
+    rows = rows.withColumn("event_date", F.to_date(F.date_trunc("month", "event_timestamp")))
+    n, more = 0, True
+    while more:
+        n += 1
+        lake = Lake(spark, f"{tmp_path}/{n}", date_unit="month")
+        lake.ctas_replace(rows, "raw", "readings", "event_date")
+        fs, path = lake._fs(lake.path("raw", "readings") + "/event_date=2024-01-01")
+        kept = spark.read.parquet(path.toString()).filter("id >= 10")
+        more = _stopped_after(lake._cut_steps(fs, path, kept), n)
+        assert lake.read("raw", "readings").schema["event_date"].dataType.simpleString() == "date"
+        lake.expire_raw_partitions("readings", "2024-01-21", days=10)
+        assert sorted(r.id for r in lake.read("raw", "readings").collect()) == list(range(10, 40))
+    assert n == 5

@@ -102,15 +102,20 @@ def cdc_operation_label(op: Column) -> Column:
     return label
 
 
+_NO_MEMBERS = r"^[ \t\r\n]*\{[ \t\r\n]*\}[ \t\r\n]*$"
+
+
 def _document(text: Column) -> Column:
     """JSON text, or NULL when it is absent or an empty object, with any number of blanks."""
-    return F.when(F.translate(text, " \t\r\n", "") != "{}", text)
+    return F.when(~text.rlike(_NO_MEMBERS), text)
 
 
 def cdc_to_row(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Change rows of the raw layer, plus ``cols``: the members of ``after`` as a text map."""
-    before, after = _document(F.col("before")), _document(F.col("after"))
-    return events.select(
+    # the generator keeps the documents from being tested anew for every column built on them
+    documents = F.struct(_document(F.col("before")).alias("_before"), _document(F.col("after")).alias("_after"))
+    before, after = F.col("_before"), F.col("_after")
+    return events.select("table_name", "op", "ts_ms", F.inline(F.array(documents))).select(
         F.col("table_name").alias("cdc_table"),
         cdc_operation_label(F.col("op")).alias("cdc_operation"),
         F.timestamp_millis("ts_ms").alias("cdc_timestamp"),

@@ -20,9 +20,12 @@ REQUIRED = (
     "event_id", "event_name", "event_timestamp", "user_id", "session_id", "device_id", "device_type", "app_version",
 )
 OPTIONAL = ("os_version", "screen_name", "properties")
+OTHER_PROPERTIES = ("amount", "payment_method", "is_first_payment")
 DEVICES = ("ios", "android", "web")
 PAYMENT_METHODS = ("card", "bank_transfer", "app_balance")
 
+NOT_SURELY_TEXT = r"^(-?\d+(\.\d+)?([eE][+-]?\d+)?$|true$|false$|[{\[])"
+
 
 def parse_taxonomy(events: DataFrame) -> DataFrame:
     """Split ``category.action.label`` and mark names that do not follow the pattern."""
@@ -44,17 +47,31 @@ def validate_event_schema(
     outside the schema. ``not_an_object`` stands alone: nothing else can be judged then (a key given twice counts as that).
     With ``check_formats`` the event id must be a UUID too. A message is parsed once, typed.
     """
-    # the generator keeps later steps from being folded into it, so the text is parsed once
+    # Generators keep later steps from being folded into earlier ones: the text is parsed once, each member read once.
     parsed = raw.select("*", F.inline(F.array(F.struct(F.try_parse_json(message_text(raw)).alias("_v")))))
+    read = {"_m": F.try_variant_get("_v", "$", "map<string,string>")}
+    read["_p"] = F.try_variant_get("_v", "$.properties", "map<string,string>")
+    read["_properties"] = F.try_variant_get("_v", "$.properties", "variant")
+    read["_number"] = F.try_variant_get("_v", "$.properties.amount", "double")
+    parsed = parsed.select(*raw.columns, "_v", F.inline(F.array(F.struct(*[c.alias(n) for n, c in read.items()]))))
+
+    def found(path: str) -> Column:
+        return F.col("_p")[path.removeprefix("properties.")] if path.startswith("properties.") else F.col("_m")[path]
+
+    def typed(path: str) -> Column:
+        """Only a text that could be a number, a truth value or a nested value as well is looked up again for its type."""
+        of_variant = F.schema_of_variant(F.try_variant_get("_v", f"$.{path}", "variant"))
+        unsure = found(path).rlike(NOT_SURELY_TEXT)
+        return F.when(found(path).isNull(), "VOID").when(unsure, F.coalesce(of_variant, F.lit("VOID"))).otherwise("STRING")
 
-    def member(path: str) -> Column:
-        return F.try_variant_get("_v", f"$.{path}", "variant")
+    paths = [*REQUIRED, *OPTIONAL[:2], *[f"properties.{n}" for n in (*TEXT_PROPERTIES, *OTHER_PROPERTIES)]]
+    parsed = _in_steps(parsed, {f"_k_{p.replace('.', '_')}": typed(p) for p in paths})
 
     def kind(path: str) -> Column:
-        return F.coalesce(F.schema_of_variant(member(path)), F.lit("VOID"))
+        return F.col(f"_k_{path.replace('.', '_')}")
 
     def text(path: str) -> Column:
-        return F.when(kind(path) == "STRING", F.try_variant_get("_v", f"$.{path}", "string"))
+        return F.when(kind(path) == "STRING", found(path))
 
     def optional(path: str, of_kind: Column) -> Column:
         return (kind(path) == "VOID") | of_kind
@@ -69,17 +86,27 @@ def validate_event_schema(
     rules["app_version"] = text("app_version").rlike(VERSION_PATTERN)
     for name in ("os_version", "screen_name"):
         rules[name] = optional(name, kind(name) == "STRING")
-    rules["properties"] = ~member("properties").isNotNull() | kind("properties").startswith("OBJECT")
+    rules["properties"] = F.col("_properties").isNull() | F.col("_p").isNotNull()
     for name in TEXT_PROPERTIES:
         rules[name] = optional(f"properties.{name}", kind(f"properties.{name}") == "STRING")
-    number = F.try_variant_get("_v", "$.properties.amount", "double")
+    number = F.col("_number")
     whole = kind("properties.amount").rlike("^(BIGINT|DECIMAL|DOUBLE)") & (number == F.floor(number)) & (number >= 0)
     rules["amount"] = optional("properties.amount", whole)
     rules["payment_method"] = optional("properties.payment_method", text("properties.payment_method").isin(*payment_methods))
     rules["is_first_payment"] = optional("properties.is_first_payment", kind("properties.is_first_payment") == "BOOLEAN")
     known = F.array(*[F.lit(k) for k in (*REQUIRED, *OPTIONAL)])
-    keys = F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>"))
-    rules["unknown_key"] = F.size(F.array_except(keys, known)) == 0
-    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
-    errors = F.when(~is_object, F.array(F.lit("not_an_object"))).otherwise(_errors(rules))
-    return parsed.withColumn("errors", errors).drop("_v")
+    rules["unknown_key"] = F.size(F.array_except(F.map_keys("_m"), known)) == 0
+    parsed = _in_steps(parsed, {f"_r_{n}": ok for n, ok in rules.items()})
+    broken = _errors({n: F.col(f"_r_{n}") for n in rules})
+    errors = F.when(F.col("_m").isNull(), F.array(F.lit("not_an_object"))).otherwise(broken)
+    return parsed.select(*raw.columns, errors.alias("errors"))
+
+
+def _in_steps(df: DataFrame, columns: dict[str, Column], width: int = 4) -> DataFrame:
+    """Adds columns a few at a time, each step behind a generator: one step becomes one method of generated code, and the
+    JVM does not compile methods beyond a certain length."""
+    names = list(columns)
+    for a in range(0, len(names), width):
+        some = F.struct(*[columns[n].alias(n) for n in names[a : a + width]])
+        df = df.select("*", F.inline(F.array(some)))
+    return df

@@ -193,13 +193,15 @@ class Lake:
         """Drop rows older than ``days`` before ``as_of``; returns the dropped date folders.
 
         A folder goes when its last day is before the cutoff; ``unit`` is its width (default: this lake's). One folder per
-        parent can hold the cutoff itself: its older rows are removed by rewriting that folder beside and swapping it in.
+        parent can hold the cutoff itself: its older rows are removed by rewriting that folder beside, under a name that no
+        reader sees, and swapping it in by renames. A swap that was interrupted is finished or undone by the next run.
         Date folders are found at any depth, so a table split by another column first is expired too. Otherwise only folder
         names are looked at.
         """
         unit = unit or self.date_unit
         cutoff = day(as_of) - timedelta(days=days)
         dropped = []
+        self._finish_cuts(self.path(layer, name))
         for fs, path, column, first in list(self._date_folders(self.path(layer, name))):
             if _last_day(first, unit) < cutoff:
                 fs.delete(path, True)
@@ -212,6 +214,8 @@ class Lake:
         fs, path = self._fs(location)
         for status in fs.listStatus(path):
             column, _, value = status.getPath().getName().partition("=")
+            if column.startswith("."):
+                continue
             if status.isDirectory() and value[:4].isdigit() and value[4:5] == "-":
                 yield fs, status.getPath(), column, day(value)
             elif status.isDirectory() and value:
@@ -223,10 +227,47 @@ class Lake:
         if source not in rows.columns:
             return
         time = F.to_date(F.col(source))
-        aside = path.suffix("-kept")
-        rows.filter(time.isNull() | (time >= F.lit(cutoff))).write.mode("overwrite").parquet(aside.toString())
-        fs.delete(path, True)
-        fs.rename(aside, path)
+        for _ in self._cut_steps(fs, path, rows.filter(time.isNull() | (time >= F.lit(cutoff)))):
+            pass
+
+    def _cut_steps(self, fs, path, kept: DataFrame):
+        """Puts ``kept`` in the place of a folder; yields after every step. Readers pass over names that begin with a dot."""
+        new, old = _beside(path, _KEPT), _beside(path, _OLD)
+        kept.write.mode("overwrite").parquet(new.toString())
+        yield
+        fs.rename(path, old)
+        yield
+        fs.rename(new, path)
+        yield
+        fs.delete(old, True)
+        yield
+
+    def _finish_cuts(self, location: str) -> None:
+        """A folder that was moved away is replaced by its kept rows; kept rows beside a folder in place are dropped."""
+        fs, root = self._fs(location)
+        statuses = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+        for old in [p for p in statuses if p.getName().startswith(_OLD)]:
+            path = old.getParent().suffix("/" + old.getName()[len(_OLD) :])
+            new = _beside(path, _KEPT)
+            if fs.exists(new) and not fs.exists(path):
+                fs.rename(new, path)
+            elif fs.exists(new):  # rows came for that date since
+                for status in fs.listStatus(new):
+                    if status.getPath().getName().startswith("part-"):
+                        fs.rename(status.getPath(), path.suffix("/" + status.getPath().getName()))
+            fs.delete(old, True)
+        for path in statuses:
+            if path.getName().startswith(_KEPT):
+                fs.delete(path, True)
+            elif "=" in path.getName() and not path.getName().startswith(_OLD):
+                self._finish_cuts(path.toString())
+
+
+_KEPT, _OLD = ".kept-", ".old-"
+
+
+def _beside(path, prefix: str):
+    return path.getParent().suffix("/" + prefix + path.getName())
 
 
 def _last_day(first, unit: str):
