@@ -42,7 +42,7 @@ FORCED_PENALTY = 24
 SEQUENCE_PENALTY = 16
 STRIDE = 64
 BLOCK_TOKENS = 1 << 20
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 800_000
 LEAST_POWER = 5
 # The split pattern of the vocabulary's own file, used only to count the pieces of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -267,7 +267,7 @@ def pack(docs: DataFrame, width: int = WIDTH, vocabulary: str | None = None) ->
         def shaped(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        for block in blocks(batches):
+        for block in blocks(batches, limit=4 << 20):
             texts = [t or b"" for t in block.column("text").cast(pa.binary()).to_pylist()]
             if rows := list(packer.add(block.column("doc_id").to_pylist(), texts)):
                 yield shaped(rows)
