@@ -20,7 +20,7 @@ def test_check_statement(spark, sf):
 
 def test_names():
     names = list(catalogue.QUERIES)
-    assert [int(n[2:].split("_")[0]) for n in names if n != "pipeline"] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names if n != "pipeline"] == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "exact", "near", "mix", "pack"]
 
 
