@@ -101,3 +101,15 @@ def test_cuts_are_the_cheapest(seed):
         n = b - a
         total += (0 if n & (n - 1) == 0 and n >= 1 << p.LEAST_POWER else 256 - n) + price[b] + p.SEQUENCE_PENALTY
     assert path[0] == 0 and total == pytest.approx(cheapest(at.tolist(), cost.tolist(), 256))
+
+
+def test_ageing_table_gives_the_same_ids():
+    path = p.vocabulary_path()
+    rng = np.random.default_rng(5)
+    words = ["w%x" % i for i in range(400)] + ["the", "of", "Don't", "naïve", "x.", "北京"]
+    blocks = [[" ".join(rng.choice(words, 60)).encode(), b""] for _ in range(20)]
+    plain, ageing = p.WordTokens(path), p.WordTokens(path, known_words=40)
+    for block in blocks:
+        (ids, offsets), (same, bounds) = plain.encode(block), ageing.encode(block)
+        assert ids.tolist() == same.tolist() and offsets.tolist() == bounds.tolist()
+    assert len(ageing.index) < len(plain.index)

@@ -13,7 +13,8 @@ looked up beside the queue. The remainder at the end of a task may be cut at its
 
 Scale: one map over the scan, no shuffle. A task holds one block of tokens (``BLOCK_TOKENS``); all but the last
 sequences of a block are final and its rest moves to the next block, so long documents run through any number of
-blocks. Word pieces are looked up in a bounded table of words already seen; new words are encoded many at a time.
+blocks. Word pieces are looked up in a bounded table of words already seen, which drops those that do not
+recur; new words are encoded many at a time.
 
 Defined results: a null text counts as empty, and every document ends with the separator, so an empty one is the
 separator alone; rows that repeat are packed again; documents keep the order of the input within a partition; an empty
@@ -42,7 +43,7 @@ FORCED_PENALTY = 24
 SEQUENCE_PENALTY = 16
 STRIDE = 64
 BLOCK_TOKENS = 1 << 20
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 400_000
 LEAST_POWER = 5
 # The split pattern of the vocabulary's own file, used only to count the pieces of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -77,11 +78,22 @@ class WordTokens:
             self.stops[token] = piece.endswith("</w>") and piece[:-4].rstrip("\"')]")[-1:] in (".", "!", "?")
         self.pieces = regex.compile(PIECES)
         self.limit = known_words
-        self.forget()
+        self.index: dict[bytes, int] = {}
+        self.starts, self.ids, self.size = [np.zeros(1, np.int64)], [np.zeros(0, np.uint32)], 0
+        self.uses = np.zeros(0, np.int32)
 
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.starts, self.ids, self.size = [np.zeros(1, np.int64)], [], 0
+        """Drops the words that did not recur since the last time, and more only if over half the table did."""
+        words, keep = list(self.index), np.flatnonzero(self.uses > 1)
+        if len(keep) > self.limit // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: self.limit // 2]])
+        starts, pool = self.starts[0], self.ids[0]
+        lengths = starts[keep + 1] - starts[keep]
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts[keep] - (ends - lengths), lengths) + np.arange(lengths.sum())
+        self.index = {words[i]: n for n, i in enumerate(keep.tolist())}
+        self.starts, self.ids, self.size = [np.concatenate([[0], ends])], [pool[places]], len(places)
+        self.uses = np.zeros(len(keep), np.int32)
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -116,10 +128,12 @@ class WordTokens:
         if new:
             self._learn(new)
             self.starts, self.ids = [np.concatenate(self.starts)], [np.concatenate(self.ids)]
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.index) - len(self.uses), np.int32)])
         offsets = np.zeros(len(texts) + 1, np.int64)
         if not flat:
             return np.zeros(0, np.uint32), offsets
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         starts, pool = self.starts[0], self.ids[0]
         begin, lengths = starts[at], starts[at + 1] - starts[at]
         ends = np.cumsum(lengths)
@@ -267,7 +281,7 @@ def pack(docs: DataFrame, width: int = WIDTH, vocabulary: str | None = None) ->
         def shaped(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        for block in blocks(batches, limit=4 << 20):
+        for block in blocks(batches, limit=2 << 20):
             texts = [t or b"" for t in block.column("text").cast(pa.binary()).to_pylist()]
             if rows := list(packer.add(block.column("doc_id").to_pylist(), texts)):
                 yield shaped(rows)
