@@ -227,7 +227,7 @@ def test_a_merge_stopped_after_any_step_keeps_every_row(spark, tmp_path, dated):
         for batch in range(3):
             rows = spark.range(batch * 10, batch * 10 + 5).withColumn("cdc_date", F.lit("2024-01-01"))
             sinks.write_batch(rows, path, batch, ("cdc_date",) if dated else ())
-        root, fs = sinks._filesystem(spark, f"{path}/cdc_date=2024-01-01" if dated else path)
+        root, fs = sinks.filesystem(spark, f"{path}/cdc_date=2024-01-01" if dated else path)
         more = _stopped_after(sinks.merge_steps(spark, fs, root, sinks._batches(fs, root)), n)
         if n % 2:
             found = sinks.read_batches(spark, path)

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemill.functions.exprs import Day
 from tidemill.operators import alerts, behaviour, changes, checks, engagement, payments, rules, sales, staging
 from tidemill.plans.lake import Lake
+from tidemill.streaming.ledger import StreamTable
+from tidemill.streaming.sinks import filesystem
 
 RUN_LOG = (
     "pipeline_name string, table_name string, status string, rows_processed bigint, duration_sec double, error_type string"
@@ -85,11 +87,13 @@ def run_batch_since(
     cdc_order_items: DataFrame,
     cdc_users: DataFrame,
     user_events: DataFrame,
+    unfinished: str | None = None,
 ) -> RunLog:
     """Bring staging tables and marts up to date with the changes and events since the last run.
 
     The result equals ``run_batch`` over everything. Only the partitions that hold changed keys are rewritten, and only the
-    mart dates whose orders, items or product groups changed are computed again.
+    mart dates whose orders, items or product groups changed are computed again. What these were before the merge is kept
+    under ``unfinished`` where that is given: a run that follows a stopped one finds there what the stored tables no longer tell.
     """
     log = RunLog(lake, "daily_batch")
     stamp = ["_cdc_timestamp"]
@@ -99,17 +103,23 @@ def run_batch_since(
 
     new_orders, new_items = changes.stg_orders(cdc_orders), changes.stg_order_items(cdc_order_items)
     new_products = changes.stg_products(cdc_products)
+    def before_merge(name: str, frame: DataFrame) -> DataFrame:
+        if unfinished is None:
+            return lake._aside(frame.distinct(), name)
+        frame.distinct().write.mode("append").parquet(f"{unfinished}/{name}")
+        return lake.spark.read.schema(frame.schema).parquet(f"{unfinished}/{name}").distinct()
+
     # what is needed of the state before
     date = F.to_date("ordered_at").alias("d")
     earlier = lake.read("staging", "orders").join(new_orders.select("order_id"), "order_id", "left_semi").select(date)
-    earlier = lake._aside(earlier.distinct(), "dates-before")
+    earlier = before_merge("dates-before", earlier)
     moved_items = lake.read("staging", "order_items").join(new_items.select("item_id"), "item_id", "left_semi")
     group = F.struct("category_l1", "storage_type")
     before = lake.read("staging", "products").select("product_id", group.alias("_before"))
     regrouped = new_products.select("product_id", group.alias("_after")).join(before, "product_id", "left")
-    regrouped = lake._aside(regrouped.filter(~F.col("_after").eqNullSafe(F.col("_before"))).select("product_id"), "regrouped")
+    regrouped = before_merge("regrouped", regrouped.filter(~F.col("_after").eqNullSafe(F.col("_before"))).select("product_id"))
     ids = new_orders.select("order_id").unionByName(new_items.select("order_id")).unionByName(moved_items.select("order_id"))
-    ids = lake._aside(ids.distinct(), "orders-touched")
+    ids = before_merge("orders-touched", ids)
 
     orders = merge("orders", new_orders, "order_id", stamp)
     products = merge("products", new_products, "product_id", stamp)
@@ -132,6 +142,26 @@ def run_batch_since(
     return log
 
 
+def run_batch_from_streams(lake: Lake, changes: StreamTable, events: StreamTable, reader: str = "daily_batch") -> RunLog:
+    """``run_batch_since`` over the batches that streams confirmed since this job's last run.
+
+    The marks of the ledger move once everything is stored. A run that was lost before that is repeated over the same batches
+    and later ones: merging a row again changes nothing.
+    """
+    spark, unfinished = lake.spark, f"{lake.root}/_unfinished/{reader}"
+    lake.bootstrap_layers()
+    upto = {table: table.confirmed(spark) for table in (changes, events)}
+    rows = {table: table.between(spark, table.taken(spark, reader), last) for table, last in upto.items()}
+    logs = [rows[changes].filter(F.col("cdc_table") == name) for name in ("orders", "products", "order_items", "users")]
+    log = run_batch_since(lake, *logs, rows[events], unfinished)
+    for table, last in upto.items():
+        if last >= 0:
+            table.take(spark, reader, last)
+    path, fs = filesystem(spark, unfinished)
+    fs.delete(path, True)
+    return log
+
+
 def run_quality_checks(lake: Lake, results: DataFrame) -> RunLog:
     """Store check records (``checks.dq_run_all``), then stop with an error if a critical one failed."""
     log = RunLog(lake, "data_quality")

@@ -23,7 +23,7 @@ from tidemill.plans.shop_queries import _EVENT_COLS, _SALES_TYPES, _staged, sale
 from tidemill.session import shared_folder
 from tidemill.sources import driver_tables as t
 from tidemill.sources.tables import source_events_file, source_table
-from tidemill.streaming import jobs, sinks, sources
+from tidemill.streaming import jobs, ledger, sinks, sources
 
 _D = "CAST(event_timestamp AS DATE)"
 TABLES = ("orders", "products", "order_items", "users")
@@ -99,7 +99,7 @@ def _change_rows(df):
 
 def _source_cdc_stream(spark, sf):
     root = shared_folder(spark, "cdc")
-    t.change_messages(spark, sf, "orders").write.text(f"{root}/files")
+    reduce(DataFrame.unionByName, [t.change_messages(spark, sf, n) for n in TABLES]).write.text(f"{root}/files")
     messages = sources.source_cdc_stream(spark, f"{root}/files", "text")
     _finish(jobs.cdc_microbatch(messages, f"{root}/out", f"{root}/dead", f"{root}/checkpoint", interval=None, date_unit="month"))
     return _change_rows(spark.read.parquet(f"{root}/out"))
@@ -259,6 +259,27 @@ def _run_batch_twice(spark, sf):
     return lake.read("mart", "daily_sales")
 
 
+def _run_batch_streams(spark, sf):
+    """Streams store the messages up to a date, the daily job takes them, then both go on with the rest."""
+    lake = _lake(spark, "daily-streams")
+    changes = ledger.change_table(*[f"{lake.root}/changes/{n}" for n in ("rows", "checkpoint", "ledger")])
+    events = ledger.event_table(*[f"{lake.root}/events/{n}" for n in ("rows", "checkpoint", "ledger")])
+    log = reduce(DataFrame.unionByName, [t.change_messages(spark, sf, n) for n in TABLES])
+    # 1996-01-01, in the milliseconds of the envelopes
+    changed = F.coalesce(F.get_json_object("value", "$.ts_ms").cast("bigint") >= 820454400000, F.lit(False))
+    seen = F.coalesce(F.get_json_object("value", "$.event_timestamp") >= "2024-01-20", F.lit(False))
+    for i in range(2):
+        for messages, later, name in ((log, changed, "changes"), (t.raw_messages(spark, sf), seen, "events")):
+            messages.filter(later if i else ~later).write.text(f"{lake.root}/{name}/in/part={i}")
+        source = sources.source_cdc_stream(spark, f"{lake.root}/changes/in/*", "text")
+        dead = f"{lake.root}/changes/dead"
+        _finish(jobs.cdc_microbatch(source, changes.path, dead, changes.checkpoint, interval=None, date_unit="month"))
+        source = sources.source_events_stream(spark, f"{lake.root}/events/in/*", "text")
+        _finish(jobs.ingest_events(source, events.path, f"{lake.root}/events/dead", events.checkpoint))
+        daily.run_batch_from_streams(lake, changes, events)
+    return lake.read("mart", "daily_sales")
+
+
 def _run_metrics(spark, sf):
     _, log = _daily(spark, sf)
     return checks.run_counters(log.frame()).drop("duration_sec")
@@ -322,7 +343,7 @@ _RUN_SQL = f"""SELECT 'daily_batch' AS pipeline_name, 'success' AS status, 7 AS
 
 QUERIES = [
     Query("source_events_stream", _source_events_stream, _en(_JS_OK)),
-    Query("source_cdc_stream", _source_cdc_stream, _CHANGE_ROWS + "cdc_orders"),
+    Query("source_cdc_stream", _source_cdc_stream, " UNION ALL ".join(_CHANGE_ROWS + f"cdc_{n}" for n in TABLES)),
     Query(
         "cdc_topic_route",
         _topic_route,
@@ -459,6 +480,7 @@ QUERIES = [
     ),
     Query("sink_quality_results", _sink_quality, _ALL_SQL, "metric_value"),
     Query("daily_batch", _run_batch, _BATCH_SQL, **_SALES_TYPES),
+    Query("daily_batch_streams", _run_batch_streams, _BATCH_SQL, **_SALES_TYPES),
     Query("daily_batch_since", _run_batch_twice, _BATCH_SQL, **_SALES_TYPES),
     Query(
         "payment_metrics",
