@@ -1,7 +1,7 @@
 """Expectation suites: typed rules compiled to one aggregation per table.
 
 Row rules of a suite share a single pass that reduces to one row on the map side. Rules about distinct values
-need the values grouped; each such column is scanned alone, so no row is expanded and only that column is read.
+need the values grouped: one more pass counts the values of all their columns together and reads no other column.
 """
 
 from __future__ import annotations
@@ -157,34 +157,37 @@ def _measures(rule: Rule, i: int) -> list[Column]:
     ]
 
 
-def _distinct_rows(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) -> DataFrame:
-    key = F.col(column)
-    n = F.col("n")
-    totals = (
-        df.groupBy(key.alias("k"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(F.col("k").isNotNull(), n)), F.lit(0)).alias("seen"),
-            F.count("k").alias("keys"),
-            F.coalesce(F.sum(F.when(F.col("k").isNotNull() & (n > 1), n)), F.lit(0)).alias("repeated"),
-        )
-    )
+def _distinct_rows(df: DataFrame, rules: list[tuple[int, Rule]]) -> DataFrame:
+    """Rules about distinct values: the (column, value) pairs of all their columns are counted together, in one pass.
+
+    A value that fills a column is one row per map task. The second sum goes over one row per column and value.
+    """
+    columns = list(dict.fromkeys(r.column for _, r in rules))
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("k")) for c in columns])
+    known, n = F.col("k").isNotNull(), F.col("n")
+
+    def summed(rows: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(rows, n)), F.lit(0)).alias(name)
+
+    counted = df.select(F.inline(pairs)).groupBy("c", "k").agg(F.count(F.lit(1)).alias("n"))
+    measures = [summed(F.lit(True), "total"), summed(known, "seen"), F.count("k").alias("keys"), summed(known & (n > 1), "repeated")]
+    # a column of an empty table has no pair
+    empty = df.sparkSession.createDataFrame([(c,) for c in columns], "c string")
+    totals = empty.join(counted.groupBy("c").agg(*measures), "c", "left").fillna(0)
+    none = F.lit(None).cast("bigint")
     rows = []
     for i, rule in rules:
         unique = rule.kind == "unique"
         observed = F.lit(None).cast("double") if unique else ratio(F.col("keys"), F.col("seen"))
-        none = F.lit(None).cast("bigint")
-        rows.append(
-            F.struct(
-                F.lit(i).alias("rule_no"),
-                observed.alias("observed_value"),
-                F.col("total").alias("element_count"),
-                (F.col("seen") if unique else none).alias("seen"),
-                (F.col("repeated") if unique else none).alias("unexpected_count"),
-            )
+        entry = F.struct(
+            F.lit(i).alias("rule_no"),
+            observed.alias("observed_value"),
+            F.col("total").alias("element_count"),
+            (F.col("seen") if unique else none).alias("seen"),
+            (F.col("repeated") if unique else none).alias("unexpected_count"),
         )
-    return totals.select(F.inline(F.array(*rows)))
+        rows.append(F.when(F.col("c") == rule.column, entry))
+    return totals.select(F.inline(F.array_compact(F.array(*rows))))
 
 
 def dq_suite_run(
@@ -219,9 +222,9 @@ def dq_suite_run(
         ]
         measures = [m for i, r in simple for m in _measures(r, i)]
         parts.append(df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*entries))))
-    for column in dict.fromkeys(r.column for _, r in numbered if r.kind in _DISTINCT_KINDS):
-        chosen = [(i, r) for i, r in numbered if r.kind in _DISTINCT_KINDS and r.column == column]
-        parts.append(_distinct_rows(plain, column, chosen))
+    chosen = [(i, r) for i, r in numbered if r.kind in _DISTINCT_KINDS]
+    if chosen:
+        parts.append(_distinct_rows(plain, chosen))
     measured = reduce(DataFrame.unionByName, parts)
 
     def by_rule(value) -> Column:
