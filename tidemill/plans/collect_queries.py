@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import moment
@@ -95,14 +98,19 @@ def _pay_errors_sql() -> str:
     return f"SELECT event_id AS key, concat_ws(',', {cases}) AS errors FROM raw_pay_messages"
 
 
-def _cdc(spark, sf):
-    return c.parse_cdc(t.change_messages(spark, sf, "orders"))[0]
+LOGS = ("orders", "products", "order_items", "users")
+
+
+def _cdc(spark, sf, logs=LOGS):
+    return c.parse_cdc(reduce(DataFrame.unionByName, [t.change_messages(spark, sf, n) for n in logs]))[0]
 
 
 _LABEL = "CASE op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' WHEN 'r' THEN 'SNAPSHOT' ELSE 'UNKNOWN' END"
 _CDC = """m AS (SELECT json_extract_string(value, '$.source.table') AS table_name, json_extract_string(value, '$.op') AS op,
     CAST(json_extract_string(value, '$.ts_ms') AS BIGINT) AS ts_ms,
-    nullif(json_extract(value, '$.before'), 'null') AS b, nullif(json_extract(value, '$.after'), 'null') AS a FROM msg_orders)"""
+    nullif(json_extract(value, '$.before'), 'null') AS b, nullif(json_extract(value, '$.after'), 'null') AS a FROM {messages})"""
+_LOGS = "(" + " UNION ALL ".join(f"SELECT value FROM msg_{n}" for n in LOGS) + ")"
+_ALL_CDC, _ORDER_CDC = _CDC.format(messages=_LOGS), _CDC.format(messages="msg_orders")
 
 QUERIES = [
     Query(
@@ -225,7 +233,7 @@ QUERIES = [
             F.get_json_object("before", "$.order_status").alias("status_before"),
             F.get_json_object("after", "$.order_status").alias("status_after"),
         ),
-        f"""WITH {_CDC} SELECT table_name, op, ts_ms, json_extract_string(b, '$.order_status') AS status_before,
+        f"""WITH {_ALL_CDC} SELECT table_name, op, ts_ms, json_extract_string(b, '$.order_status') AS status_before,
         json_extract_string(a, '$.order_status') AS status_after FROM m""",
     ),
     Query(
@@ -233,11 +241,11 @@ QUERIES = [
         lambda sp, sf: _cdc(sp, sf).groupBy("op", c.cdc_operation_label(F.col("op")).alias("label")).agg(
             F.count(F.lit(1)).alias("changes")
         ),
-        f"WITH {_CDC} SELECT op, {_LABEL} AS label, count(*) AS changes FROM m GROUP BY 1, 2",
+        f"WITH {_ALL_CDC} SELECT op, {_LABEL} AS label, count(*) AS changes FROM m GROUP BY 1, 2",
     ),
     Query(
         "cdc_to_row",
-        lambda sp, sf: c.cdc_to_row(_cdc(sp, sf), now=moment(NOW)).select(
+        lambda sp, sf: c.cdc_to_row(_cdc(sp, sf, ("orders",)), now=moment(NOW)).select(
             "cdc_table", "cdc_operation", "cdc_timestamp",
             F.col("before_data").isNotNull().alias("has_before"),
             F.col("cols")["order_id"].cast("bigint").alias("order_id"),
@@ -246,7 +254,7 @@ QUERIES = [
             F.col("cols")["delivery_type"].alias("col_delivery_type"),
             "ingested_at",
         ),
-        f"""WITH {_CDC} SELECT table_name AS cdc_table, {_LABEL} AS cdc_operation,
+        f"""WITH {_ORDER_CDC} SELECT table_name AS cdc_table, {_LABEL} AS cdc_operation,
         make_timestamp(ts_ms * 1000) AS cdc_timestamp, b IS NOT NULL AS has_before,
         CAST(json_extract_string(a, '$.order_id') AS BIGINT) AS order_id,
         CAST(json_extract_string(a, '$.total_amount') AS DOUBLE) AS total_amount,

@@ -292,8 +292,13 @@ def _payment_metrics(spark, sf):
 
 
 def _sla(spark, sf):
-    _, log = _daily(spark, sf)
-    return checks.sla_alerts(checks.run_counters(log.frame()), _freshness(spark, sf))
+    """A daily run that succeeds and a payment run that its quality gate stops: the given transactions break a P0 rule."""
+    lake, _ = _daily(spark, sf)
+    try:
+        daily.run_payment_metrics(lake, t.pay_events(spark, sf), t.EVENTS_AS_OF)
+    except daily.QualityGateFailure:
+        pass
+    return checks.sla_alerts(checks.run_counters(lake.read("monitoring", "run_log")), _freshness(spark, sf))
 
 
 _JS_OK = """SELECT event_id, kind AS event_type, ts AS event_timestamp, user_id, session_id, device_type, page_url FROM en"""
@@ -493,7 +498,9 @@ QUERIES = [
         "sla_alerts",
         _sla,
         f"""SELECT 'DataFreshnessSLABreach' AS alert, 'critical' AS severity, table_name AS subject,
-        CAST(freshness_minutes AS DOUBLE) AS value FROM ({_FRESH_SQL}) WHERE freshness_minutes > 30""",
+        CAST(freshness_minutes AS DOUBLE) AS value FROM ({_FRESH_SQL}) WHERE freshness_minutes > 30
+        UNION ALL SELECT 'PipelineExecutionFailed', 'warning', 'payment_metrics', 1 WHERE EXISTS (SELECT transaction_id
+        FROM stg_transactions GROUP BY transaction_id HAVING count(*) > 1 AND transaction_id IS NOT NULL)""",
         "value",
     ),
 ]
