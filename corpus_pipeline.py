@@ -25,6 +25,9 @@ from tidemill.llm.ngram_join import ngram_components
 from tidemill.llm.packing import pack
 
 MIN_LANGUAGE_SCORE = 0.5
+# Executors come to the last stage with what the stages before left in them, so its workers keep a smaller table of words.
+PACK_WORDS = 400_000
+PACK_BYTES = 2 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +54,7 @@ def balance(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs)
+    return pack(docs, known_words=PACK_WORDS, text_bytes=PACK_BYTES)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("mix", balance), ("pack", packed)]

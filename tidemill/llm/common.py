@@ -137,6 +137,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 def give_back() -> None:
     """Returns freed memory to the system at the end of a task: Python workers live on, and what one stage freed would
     stay theirs beside the JVM's share of the executor."""
+    for base in [b for b, powers in _POWERS.items() if len(powers) > 2 * BLOCK_BYTES]:
+        del _POWERS[base]
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         ctypes.CDLL(None).malloc_trim(0)

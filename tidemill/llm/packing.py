@@ -43,7 +43,8 @@ FORCED_PENALTY = 24
 SEQUENCE_PENALTY = 16
 STRIDE = 64
 BLOCK_TOKENS = 1 << 20
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 800_000
+TEXT_BYTES = 4 << 20
 LEAST_POWER = 5
 # The split pattern of the vocabulary's own file, used only to count the pieces of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -143,14 +144,14 @@ class WordTokens:
         return ids, offsets
 
 
-_LOADED: dict[str, WordTokens] = {}
+_LOADED: dict[tuple[str, int], WordTokens] = {}
 
 
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, known_words: int) -> WordTokens:
     """One table of words for all tasks that a Python worker runs."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokens(path)
-    return _LOADED[path]
+    if (path, known_words) not in _LOADED:
+        _LOADED[path, known_words] = WordTokens(path, known_words)
+    return _LOADED[path, known_words]
 
 
 def candidates(doc_ends: np.ndarray, stops: np.ndarray, n: int, width: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -270,18 +271,28 @@ _SCHEMA = (
 )
 
 
-def pack(docs: DataFrame, width: int = WIDTH, vocabulary: str | None = None) -> DataFrame:
-    """One row per piece; ``sequence_id`` counts within a partition, whose number fills its upper bits."""
+def pack(
+    docs: DataFrame,
+    width: int = WIDTH,
+    vocabulary: str | None = None,
+    known_words: int = KNOWN_WORDS,
+    text_bytes: int = TEXT_BYTES,
+) -> DataFrame:
+    """One row per piece; ``sequence_id`` counts within a partition, whose number fills its upper bits.
+
+    ``known_words`` bounds the table of words a worker keeps and ``text_bytes`` the texts it handles at once. Both trade
+    memory for time where executors hold other work as well; the rows do not depend on them but for where blocks end.
+    """
     path = vocabulary or vocabulary_path()
     names = [c.split()[0] for c in _SCHEMA.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(word_tokens(path), width, TaskContext.get().partitionId() << 36)
+        packer = Packer(word_tokens(path, known_words), width, TaskContext.get().partitionId() << 36)
 
         def shaped(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
-        for block in blocks(batches, limit=2 << 20):
+        for block in blocks(batches, limit=text_bytes):
             texts = [t or b"" for t in block.column("text").cast(pa.binary()).to_pylist()]
             if rows := list(packer.add(block.column("doc_id").to_pylist(), texts)):
                 yield shaped(rows)
