@@ -427,15 +427,13 @@ QUERIES = [
     ),
     Query(
         "trending_search_stream",
-        lambda sp, sf: _run_stream(jobs.trending_search_stream(_event_stream(sp, sf), min_count=1), "trending").drop(
-            "unique_searchers"
-        ),
-        f"""WITH s AS (SELECT json_extract_string(properties, '$.search_query') AS search_query,
+        lambda sp, sf: _run_stream(jobs.trending_search_stream(_event_stream(sp, sf), min_count=1), "trending"),
+        f"""WITH s AS (SELECT user_id, json_extract_string(properties, '$.search_query') AS search_query,
             json_extract_string(properties, '$.result_count') AS rc,
             unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, event_timestamp) - INTERVAL 55 MINUTE,
                 time_bucket(INTERVAL 5 MINUTE, event_timestamp), INTERVAL 5 MINUTE)) AS window_start
             FROM user_events WHERE event_type = 'search')
-        SELECT window_start, search_query, count(*) AS search_count, avg(CAST(rc AS BIGINT)) AS avg_result_count,
+        SELECT window_start, search_query, count(*) AS search_count, count(DISTINCT user_id) AS unique_searchers, avg(CAST(rc AS BIGINT)) AS avg_result_count,
             count(*) FILTER (WHERE rc = '0') AS zero_result_count FROM s
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) - INTERVAL 10 MINUTE FROM user_events
             WHERE event_type = 'search') GROUP BY 1, 2""",

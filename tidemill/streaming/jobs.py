@@ -105,8 +105,13 @@ def trending_search_stream(
     min_count: int = 3,
     time_col: str = "event_time",
     watermark: str = "10 minutes",
+    approx: bool = False,
 ) -> DataFrame:
-    """Search terms per sliding window. Users are counted with a sketch, which a stream can merge."""
+    """Search terms per sliding window.
+
+    Users are counted exactly by two aggregations in a row: one row per window, term and user, then one per window and
+    term. A stream keeps state for every user of an open window then; ``approx`` keeps one sketch per window and term.
+    """
     if events.isStreaming:
         events = timed(events, time_col, watermark)
     results = json_scalar(F.col("properties"), "result_count")
@@ -117,22 +122,26 @@ def trending_search_stream(
         flag(results == "0").alias("empty"),
         "user_id",
     )
-    return (
-        searches.groupBy(F.window(time_col, window, slide).alias("_w"), "search_query")
-        .agg(
-            F.count(F.lit(1)).alias("search_count"),
-            F.approx_count_distinct("user_id").alias("unique_searchers"),
-            F.sum("results").alias("_sum"),
-            F.count("results").alias("_n"),
-            F.sum("empty").alias("zero_result_count"),
-        )
-        .filter(F.col("search_count") >= min_count)
-        .select(
-            F.col("_w.start").alias("window_start"),
-            "search_query",
-            "search_count",
-            "unique_searchers",
-            ratio(F.col("_sum"), F.col("_n")).alias("avg_result_count"),
-            "zero_result_count",
+    sums = {
+        "search_count": F.count(F.lit(1)),
+        "_sum": F.sum("results"),
+        "_n": F.count("results"),
+        "zero_result_count": F.sum("empty"),
+    }
+    keys = [F.window(time_col, window, slide).alias("_w"), F.col("search_query")]
+    if approx:
+        users = F.approx_count_distinct("user_id")
+        totals = searches.groupBy(*keys).agg(users.alias("unique_searchers"), *[c.alias(n) for n, c in sums.items()])
+    else:
+        per_user = searches.groupBy(*keys, "user_id").agg(*[c.alias(n) for n, c in sums.items()])
+        totals = per_user.groupBy("_w", "search_query").agg(
+            F.count("user_id").alias("unique_searchers"), *[F.sum(n).alias(n) for n in sums]
         )
+    return totals.filter(F.col("search_count") >= min_count).select(
+        F.col("_w.start").alias("window_start"),
+        "search_query",
+        "search_count",
+        "unique_searchers",
+        ratio(F.col("_sum"), F.col("_n")).alias("avg_result_count"),
+        "zero_result_count",
     )
