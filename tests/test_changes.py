@@ -1,5 +1,7 @@
 import json
 
+from pyspark.sql import functions as F
+
 from tidemill.functions.exprs import moment
 from tidemill.operators import changes as c
 
@@ -76,3 +78,30 @@ def test_empty_object_with_many_blanks(spark):
     events = spark.createDataFrame(rows, "table_name string, op string, before string, after string, ts_ms long")
     out = c.cdc_to_row(events, now=moment(NOW)).orderBy("cdc_timestamp").collect()
     assert [(r.before_data, r.after_data, r.raw_payload) for r in out] == [(None, held, held), (held, None, held)]
+
+
+def test_document_drift(spark):
+    declared = {"t": {"id": ("id", "bigint"), "sum": ("sum", "decimal(12,2)"), "at": ("at", "timestamp"), "gone": ("gone", "string")}}
+    rows = [
+        ("t", "2024-01-01 10:00:00", None, '{"id": 1, "sum": 2, "at": "x", "more": {"a": 1}}'),
+        ("t", "2024-01-01 11:00:00", None, '{"id": "1", "sum": 2.5, "at": null, "gone": null}'),
+        ("t", "2024-01-02 00:00:00", '{"id": 2, "sum": 1.0, "at": "y", "gone": "z"}', None),
+        ("t", "2024-01-03 00:00:00", None, "broken"),
+        ("t", "2024-01-03 00:00:00", None, None),
+        ("u", "2024-01-01 00:00:00", None, '{"flag": true}'),
+        (None, None, None, '{"flag": [1]}'),
+        ("u", "2024-01-01 00:00:00", None, '{}'),
+    ]
+    changes = spark.createDataFrame(rows, "cdc_table string, at string, before_data string, after_data string").select(
+        "cdc_table", F.to_timestamp("at").alias("cdc_timestamp"), "before_data", "after_data"
+    )
+    found = {(r.cdc_table, r.cdc_date and r.cdc_date.day, r.member): tuple(r)[3:] for r in c.document_drift(changes, declared).collect()}
+    assert found == {
+        ("t", 1, "id"): ("retyped", "bigint", "text,whole", 2),
+        ("t", 1, "more"): ("new", None, "nested", 1),
+        **{("t", 3, m): ("missing", kind, None, 0) for m, kind in declared["t"].values()},
+        ("u", 1, "flag"): ("new", None, "boolean", 1),
+        (None, None, "flag"): ("new", None, "nested", 1),
+    }
+    assert c.document_drift(changes.limit(0), declared).count() == 0
+    assert c.document_drift(changes, {}).filter("problem <> 'new'").count() == 0

@@ -198,3 +198,77 @@ def stg_order_items(changes: DataFrame, drop_deleted: bool = False, now: Column
 
 def stg_users(changes: DataFrame, drop_deleted: bool = False, now: Column | None = None) -> DataFrame:
     return latest_state(changes, "user_id", USER_FIELDS, drop_deleted, now)
+
+
+# Kinds of JSON members that a declared type takes; a null fits every type.
+_TAKES = {
+    "bigint": ("whole",),
+    "double": ("fraction", "whole"),
+    "string": ("text",),
+    "timestamp": ("text",),
+    "boolean": ("boolean",),
+}
+
+
+def _kind(value: Column) -> Column:
+    name = F.schema_of_variant(value)
+    numbers = (name == "DOUBLE") | (name == "FLOAT") | name.startswith("DECIMAL")
+    return (
+        F.when(name == "BIGINT", "whole")
+        .when(name == "STRING", "text")
+        .when(name == "BOOLEAN", "boolean")
+        .when(numbers, "fraction")
+        .when(name != "VOID", "nested")
+    )
+
+
+def document_drift(changes: DataFrame, declared: Mapping[str, Fields], unit: str = "day") -> DataFrame:
+    """Members of the change documents that differ from the declared fields of their table, per table and date.
+
+    ``new``: not declared; ``missing``: declared, in no document of that date; ``retyped``: in a form that the declared
+    type does not take. ``found_kinds`` are the forms seen (null where only nulls were), ``filled`` the documents that
+    hold the member. Documents are those after the change, or before it where there is none; one that is no JSON object
+    has no members. Tables without a declaration, a null name among them, have new members only.
+
+    One scan. Each document is cut into its members and itself (a null member), all counted by hash aggregation in front
+    of the shuffle; what meets behind it has one row per table, date, member and form. The declared fields of a table
+    join as a literal at its count of documents.
+    """
+    entry = "array<struct<member string, declared string, kind string, n bigint>>"
+    nothing, none = F.lit(None).cast("string"), F.array().cast(entry)
+    fields = []
+    for table, own in declared.items():
+        named = [F.struct(F.lit(m), F.lit(kind), nothing, F.lit(0).cast("bigint")) for m, kind in own.values()]
+        fields += [F.lit(table), F.array(*named).cast(entry)]
+    wanted = F.coalesce(F.element_at(F.create_map(*fields), F.col("cdc_table")), none) if fields else none
+    members = F.from_json(F.coalesce("after_data", "before_data"), "map<string,variant>")
+    seen = F.transform(
+        F.coalesce(F.map_entries(members), F.array()),
+        lambda e: F.struct(e["key"].alias("member"), _kind(e["value"]).alias("kind"), F.lit(True).alias("inside")),
+    )
+    itself = F.struct(nothing.alias("member"), nothing.alias("kind"), F.lit(False).alias("inside"))
+    date = F.to_date(F.date_trunc(unit, "cdc_timestamp")).alias("cdc_date")
+    counted = (
+        changes.select("cdc_table", date, F.inline(F.concat(seen, F.array(itself))))
+        .groupBy("cdc_table", "cdc_date", "member", "kind", "inside")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    found = F.array(F.struct("member", nothing, "kind", "n")).cast(entry)
+    merged = (
+        counted.select("cdc_table", "cdc_date", F.inline(F.when(F.col("inside"), found).otherwise(wanted)))
+        .groupBy("cdc_table", "cdc_date", "member")
+        .agg(F.max("declared").alias("declared"), F.array_sort(F.collect_set("kind")).alias("_kinds"), F.sum("n").alias("filled"))
+    )
+    takes = F.create_map(*[x for name, forms in _TAKES.items() for x in (F.lit(name), F.array(*map(F.lit, forms)))])
+    base = F.regexp_replace("declared", r"^decimal.*", "double")
+    odd = F.size(F.array_except("_kinds", F.element_at(takes, base))) > 0
+    problem = F.when(F.col("declared").isNull(), "new").when(F.col("filled") == 0, "missing").when(odd, "retyped")
+    return merged.withColumn("problem", problem).filter("problem IS NOT NULL").select(
+        "cdc_table",
+        "cdc_date",
+        "member",
+        "problem",
+        "declared",
+        F.when(F.size("_kinds") > 0, F.concat_ws(",", "_kinds")).alias("found_kinds"),
+        "filled",
+    )

@@ -112,6 +112,31 @@ _CDC = """m AS (SELECT json_extract_string(value, '$.source.table') AS table_nam
 _LOGS = "(" + " UNION ALL ".join(f"SELECT value FROM msg_{n}" for n in LOGS) + ")"
 _ALL_CDC, _ORDER_CDC = _CDC.format(messages=_LOGS), _CDC.format(messages="msg_orders")
 
+# What an earlier release declared: it knew no delivery type, had a coupon and telephone numbers, and took sums for whole.
+EARLIER_FIELDS = {
+    "orders": {n: f for n, f in c.ORDER_FIELDS.items() if n != "delivery_type"}
+    | {"total_amount": ("total_amount", "bigint"), "coupon_id": ("coupon_id", "string")},
+    "products": c.PRODUCT_FIELDS | {"discount_rate": ("discount_rate", "bigint")},
+    "order_items": c.ORDER_ITEM_FIELDS | {"product_id": ("product_id", "string")},
+    "users": c.USER_FIELDS | {"phone": ("phone", "string")},
+}
+_DECLARED = ", ".join(f"('{t}', '{m}', '{kind}')" for t, own in EARLIER_FIELDS.items() for m, kind in own.values())
+_DRIFT = f"""WITH d AS ({" UNION ALL ".join(f"SELECT cdc_table, CAST(cdc_timestamp AS DATE) AS cdc_date, coalesce(after_data, before_data) AS doc FROM cdc_{n}" for n in LOGS)}),
+    f AS (SELECT * FROM (VALUES {_DECLARED}) v(cdc_table, member, declared)),
+    k AS (SELECT cdc_table, cdc_date, doc, unnest(json_keys(doc)) AS member FROM d),
+    m AS (SELECT cdc_table, cdc_date, member, CASE json_type(doc, '$.' || member) WHEN 'UBIGINT' THEN 'whole' WHEN 'BIGINT' THEN 'whole'
+        WHEN 'DOUBLE' THEN 'fraction' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN NULL
+        ELSE 'nested' END AS kind FROM k),
+    s AS (SELECT cdc_table, cdc_date, member, declared, count(*) AS filled, string_agg(DISTINCT kind, ',' ORDER BY kind) AS found_kinds,
+        count(*) FILTER (WHERE NOT CASE declared WHEN 'bigint' THEN kind = 'whole' WHEN 'double' THEN kind IN ('whole', 'fraction')
+            WHEN 'boolean' THEN kind = 'boolean' ELSE kind = 'text' END) AS odd
+        FROM m LEFT JOIN f USING (cdc_table, member) GROUP BY ALL)
+    SELECT cdc_table, cdc_date, member, CASE WHEN declared IS NULL THEN 'new' ELSE 'retyped' END AS problem, declared, found_kinds, filled
+        FROM s WHERE declared IS NULL OR odd > 0
+    UNION ALL SELECT cdc_table, cdc_date, member, 'missing', declared, NULL, 0
+        FROM (SELECT DISTINCT cdc_table, cdc_date FROM d) JOIN f USING (cdc_table)
+        ANTI JOIN s USING (cdc_table, cdc_date, member)"""
+
 QUERIES = [
     Query(
         "parse_events",
@@ -123,6 +148,13 @@ QUERIES = [
         json_extract_string(properties, '$.product_id') AS product_id,
         json_extract_string(properties, '$.search_query') AS search_query FROM ok""",
     ),
+    Query(
+        "document_drift",
+        lambda sp, sf: c.document_drift(
+            reduce(DataFrame.unionByName, [t.changes(sp, sf, n) for n in LOGS]), EARLIER_FIELDS
+        ),
+        _DRIFT,
+    ),
     Query(
         "parse_counters",
         lambda sp, sf: k.parse_counters(t.raw_messages(sp, sf)),
