@@ -247,7 +247,9 @@ def mart_revenue(
     """Daily revenue from completed payments net of refunds, with the largest payments of the day as JSON.
 
     Refunds reach their payment through a window over the transaction id: one shuffle, and at most a few rows
-    per id after staging. The top list keeps ``top_n`` rows per day already in front of its shuffle.
+    per id after staging. The top list keeps ``top_n`` rows per day already in front of its shuffle. Day totals and
+    top list start from the same columns behind a generator, which keeps each from being pruned to its own: the input is
+    read and shuffled once, and the second reader reuses it.
     """
     refunded = F.col("transaction_status") == "REFUNDED"
     sold = (F.col("transaction_status") == "COMPLETED") & (F.col("payment_method") != "transfer")
@@ -270,6 +272,7 @@ def mart_revenue(
         .withColumnRenamed("amount", "gross")
         .filter(F.col("net") > 0)
     )
+    net = net.select(F.inline(F.array(F.struct(*[c for c in net.columns if c != "_sold"]))))
     d = _payer_totals(net, "dt", methods)
     best = top_per_key(
         net.select("dt", "net", "merchant_category", "transaction_id"),
