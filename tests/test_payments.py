@@ -129,3 +129,21 @@ def test_repeated_and_shuffled_input_changes_nothing(spark, sf):
         once = build(st.stg_events(raw, "2024-01-31")).collect()
         again = build(st.stg_events(twice, "2024-01-31")).collect()
         assert sorted(map(str, once)) == sorted(map(str, again))
+
+
+def test_login_days_merge_in_any_order(spark):
+    days = ["2024-01-21", "2024-01-22", "2024-02-20", "2024-03-24", "2024-03-25", "2024-03-31"]
+    rows = [login("user_1", d) for d in days] + [login("user_2", "2024-03-31"), login("user_2", "2024-03-31")]
+    events = staged(spark, rows)
+    whole = sorted(map(tuple, g.login_days(events).collect()))
+    bits = sum(1 << n for n in (0, 1, 30))  # 63 days and more after the first one are not held
+    assert [(u, d.isoformat(), b) for u, d, b in whole] == [("user_1", "2024-01-21", bits), ("user_2", "2024-03-31", 1)]
+    parts = [g.login_days(events.filter(F.to_date("event_timestamp") == d)) for d in (days[3], days[0], days[5], days[2], days[1], days[4], days[0])]
+    state = parts[0]
+    for part in parts[1:]:
+        state = g.merge_login_days(state, part)
+    assert sorted(map(tuple, state.collect())) == whole
+    assert sorted(map(tuple, g.merge_login_days(*parts).collect())) == whole
+    assert g.merge_login_days(g.login_days(events.limit(0))).count() == 0
+    expected = g.mart_user_retention(events, AS_OF, cohort_days=90).collect()
+    assert sorted(map(tuple, g.retention_of_login_days(state, AS_OF, cohort_days=90).collect())) == sorted(map(tuple, expected))

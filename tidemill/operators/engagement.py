@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.exprs import Day, day, pct, since_day, sunday_week
@@ -51,6 +52,69 @@ def mart_user_retention(events: DataFrame, as_of: Day, max_day: int = 30, cohort
     )
 
 
+# Login days a user's row can hold, from the first one on: the bits of a bigint but for its sign.
+KEPT_DAYS = 63
+
+
+def login_days(events: DataFrame) -> DataFrame:
+    """One row per user: ``first_day`` of a login and ``days``, whose bit i says that there was one i days later.
+
+    Days beyond the 63rd are not held; retention looks 30 days ahead. A user's days are distinct before they meet, so they
+    are at most as many as the input has calendar days.
+    """
+    user_days = logins(events).select("user_id", F.to_date("event_timestamp").alias("d")).filter("d IS NOT NULL").distinct()
+    seen = user_days.groupBy("user_id").agg(F.min("d").alias("first_day"), F.collect_list("d").alias("_days"))
+    offsets = F.transform("_days", lambda d: F.date_diff(d, F.col("first_day")))
+    return seen.select("user_id", "first_day", _union_of_bits(offsets).alias("days"))
+
+
+def merge_login_days(*parts: DataFrame) -> DataFrame:
+    """The rows of several ``login_days``, of any days and in any order, as one: the same as from all their events at once.
+
+    Each part has one row per user at most. A part whose first day is later moves up by the days between.
+    """
+    both = reduce(DataFrame.unionByName, [part.select("user_id", "first_day", "days") for part in parts])
+    own = both.groupBy("user_id").agg(
+        F.min("first_day").alias("_first"), F.collect_list(F.struct("first_day", "days")).alias("_parts")
+    )
+    shifted = F.transform(
+        "_parts", lambda x: F.struct(F.date_diff(x["first_day"], F.col("_first")).alias("by"), x["days"].alias("days"))
+    )
+    near = F.filter(shifted, lambda x: x["by"] < KEPT_DAYS)
+    kept = F.aggregate(
+        near,
+        F.lit(0).cast("bigint"),
+        lambda bits, x: bits.bitwiseOR(_shift(x["days"], x["by"]).bitwiseAND(F.lit(2**KEPT_DAYS - 1))),
+    )
+    return own.select("user_id", F.col("_first").alias("first_day"), kept.alias("days"))
+
+
+def retention_of_login_days(state: DataFrame, as_of: Day, max_day: int = 30, cohort_days: int = 60) -> DataFrame:
+    """``mart_user_retention`` from the stored rows of ``login_days``: one row per user is read, no event.
+
+    All days of a cohort are counted in one aggregation that combines on the map side.
+    """
+    if max_day >= KEPT_DAYS:
+        raise ValueError(f"a row holds {KEPT_DAYS} days")
+    recent = state.filter(F.col("first_day") >= F.lit(day(as_of) - timedelta(days=cohort_days)))
+    counts = [F.count_if(F.getbit("days", F.lit(n)) == 1).alias(f"d{n}") for n in range(max_day + 1)]
+    by_day = F.array(*[F.struct(F.lit(n).alias("day_n"), F.col(f"d{n}").alias("returned_users")) for n in range(max_day + 1)])
+    returns = recent.groupBy(F.col("first_day").alias("cohort_date")).agg(*counts).select("cohort_date", F.inline(by_day))
+    return _with_cohort_size(returns.filter("returned_users > 0")).select(
+        "cohort_date", "cohort_users", "day_n", "returned_users", "retention_rate"
+    )
+
+
+def _shift(bits: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", bits, by)
+
+
+def _union_of_bits(offsets: Column) -> Column:
+    near = F.filter(offsets, lambda n: n < KEPT_DAYS)
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return F.aggregate(near, none, lambda bits, n: bits.bitwiseOR(_shift(one, n)))
+
+
 def retention_long(
     events: DataFrame,
     as_of: Day,

@@ -105,7 +105,7 @@ def run_batch_since(
     new_products = changes.stg_products(cdc_products)
     def before_merge(name: str, frame: DataFrame) -> DataFrame:
         if unfinished is None:
-            return lake._aside(frame.distinct(), name)
+            return lake.aside(frame.distinct(), name)
         frame.distinct().write.mode("append").parquet(f"{unfinished}/{name}")
         return lake.spark.read.schema(frame.schema).parquet(f"{unfinished}/{name}").distinct()
 
@@ -125,12 +125,12 @@ def run_batch_since(
     products = merge("products", new_products, "product_id", stamp)
     items = merge("order_items", new_items, "item_id", stamp)
     merge("users", changes.stg_users(cdc_users), "user_id", stamp)
-    new_events = lake._aside(staging.stg_user_events(user_events), "events-new")
+    new_events = lake.aside(staging.stg_user_events(user_events), "events-new")
     events = merge("user_events", new_events, "event_id", ["ingested_at"])
 
     ids = ids.unionByName(items.join(regrouped, "product_id", "left_semi").select("order_id")).distinct()
     dates = orders.join(ids, "order_id", "left_semi").select(date).unionByName(earlier).distinct()
-    dates = lake._aside(dates, "dates-touched")
+    dates = lake.aside(dates, "dates-touched")
     of_dates = orders.join(dates, F.to_date("ordered_at").eqNullSafe(F.col("d")), "left_semi")
     sold = sales.mart_daily_sales(of_dates, items.join(of_dates.select("order_id"), "order_id", "left_semi"), products)
     log.step("daily_sales", sold, lambda df: lake.replace_dates(df, "mart", "daily_sales", "order_date", dates))
@@ -170,7 +170,7 @@ def run_quality_checks(lake: Lake, results: DataFrame) -> RunLog:
         lake.sink_quality_results(df)
         return df
 
-    stored = log.step("data_quality_checks", lake._aside(results, "checks"), store)
+    stored = log.step("data_quality_checks", lake.aside(results, "checks"), store)
     try:
         checks.raise_on_critical(stored)
     except checks.CriticalQualityFailure as failure:
@@ -181,6 +181,18 @@ def run_quality_checks(lake: Lake, results: DataFrame) -> RunLog:
     return log
 
 
+def update_login_days(lake: Lake, staged: DataFrame) -> DataFrame:
+    """Adds the logins of newly staged payment events to the stored days of each user; the same rows again change nothing.
+
+    The table has one row per user, so it is rewritten whole; the rows are stored aside first. A login that staging takes
+    back later stays until the table is built anew.
+    """
+    new = engagement.login_days(staged)
+    if lake.exists("staging", "login_days"):
+        new = lake.aside(engagement.merge_login_days(lake.read("staging", "login_days"), new), "login-days")
+    return lake.store(new, "staging", "login_days")
+
+
 def run_payment_metrics(lake: Lake, raw_events: DataFrame, as_of: Day, gate: bool = True) -> RunLog:
     """Build the payment marts from transactions stored once, behind the transaction rules.
 

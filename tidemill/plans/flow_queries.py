@@ -11,11 +11,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators import checks, collect, payments
+from tidemill.operators import checks, collect, engagement, payments
 from tidemill.plans import daily
 from tidemill.plans.collect_queries import _EN, _JS
 from tidemill.plans.lake import Lake
-from tidemill.plans.pay_queries import _REVENUE_SQL
+from tidemill.plans.pay_queries import _RETENTION_SQL, _REVENUE_SQL
 from tidemill.plans.pay_queries import staged as staged_pay
 from tidemill.plans.quality_queries import _ALL_SQL, _FRESH_SQL, _all_checks, _freshness
 from tidemill.plans.query import Query
@@ -291,6 +291,15 @@ def _payment_metrics(spark, sf):
     return lake.read("mart", "mart_revenue").select("dt", "paying_users", "net_revenue")
 
 
+def _retention_by_day(spark, sf):
+    """Retention from login days that two daily runs have stored, the second over a day of the first once more."""
+    lake = _lake(spark, "login-days")
+    staged, at = staged_pay(spark, sf), F.col("event_timestamp")
+    daily.update_login_days(lake, staged.filter(at < "2024-01-16"))
+    daily.update_login_days(lake, staged.filter(at >= "2024-01-15"))
+    return engagement.retention_of_login_days(lake.read("staging", "login_days"), t.EVENTS_AS_OF)
+
+
 def _sla(spark, sf):
     """A daily run that succeeds and a payment run that its quality gate stops: the given transactions break a P0 rule."""
     lake, _ = _daily(spark, sf)
@@ -465,7 +474,7 @@ QUERIES = [
         FROM (VALUES ('raw', 'user_events'), ('raw', 'session_aggregations'), ('raw', 'dead_letter_events'),
             ('raw', 'cdc_users'), ('raw', 'cdc_products'), ('raw', 'cdc_orders'), ('raw', 'cdc_order_items'),
             ('staging', 'orders'), ('staging', 'products'), ('staging', 'order_items'), ('staging', 'users'),
-            ('staging', 'user_events'), ('mart', 'daily_sales'), ('mart', 'daily_funnel'),
+            ('staging', 'user_events'), ('staging', 'login_days'), ('mart', 'daily_sales'), ('mart', 'daily_funnel'),
             ('monitoring', 'data_quality_checks')) v(layer, table_name)""",
     ),
     Query(
@@ -491,6 +500,7 @@ QUERIES = [
         f"SELECT dt, paying_users, net_revenue FROM ({_REVENUE_SQL})",
         ints="net_revenue",
     ),
+    Query("retention_by_day", _retention_by_day, _RETENTION_SQL, "retention_rate"),
     Query("run_metrics", _run_metrics, _RUN_SQL, ints="runs errors rows_processed"),
     Query(
         "sla_alerts",

@@ -92,18 +92,18 @@ class Lake:
         before they replace what they were read from.
         """
         _, partition, cluster = schemas.LAYERS[layer][name]
-        old, new = self.read(layer, name), self._aside(self.shaped(new, layer, name), f"{name}-new")
+        old, new = self.read(layer, name), self.aside(self.shaped(new, layer, name), f"{name}-new")
         touched = None
         if partition:
             moved = old.join(new.select(*keys), [*keys], "left_semi").select(partition)
-            touched = self._aside(new.select(partition).unionByName(moved).distinct(), f"{name}-touched")
+            touched = self.aside(new.select(partition).unionByName(moved).distinct(), f"{name}-touched")
             # one row per date; nulls are a partition of their own
             base = old.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
         else:
             base = old
         both = base.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
         merged = first_per_key(both, keys, [*[F.desc(c) for c in order], F.desc("_new")]).drop("_new")
-        merged = self._aside(merged, f"{name}-merged")
+        merged = self.aside(merged, f"{name}-merged")
         if not partition:
             return self.ctas_replace(merged, layer, name, None, cluster)
         result = self.partition_overwrite(merged, layer, name, partition, cluster)
@@ -116,9 +116,10 @@ class Lake:
         """Full refresh of a small table by date: stored rows of other dates stay, those of ``dates`` give way to ``rows``."""
         named = dates.select(F.col(dates.columns[0]).alias("_d")).distinct()
         kept = self.read(layer, name).join(named, F.col(column).eqNullSafe(F.col("_d")), "left_anti")
-        return self.store(self._aside(kept.unionByName(rows.select(*kept.columns)), f"{name}-merged"), layer, name)
+        return self.store(self.aside(kept.unionByName(rows.select(*kept.columns)), f"{name}-merged"), layer, name)
 
-    def _aside(self, df: DataFrame, purpose: str) -> DataFrame:
+    def aside(self, df: DataFrame, purpose: str) -> DataFrame:
+        """Rows stored in the shared folder, for a table that is about to be replaced by what was read from it."""
         path = shared_folder(self.spark, purpose) + "/rows"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

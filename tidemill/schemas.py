@@ -120,6 +120,9 @@ STG_TRANSACTIONS = _schema(
     "event_name string, transaction_status string"
 )
 
+# One row per user: first login day, and bit i set for a login i days later.
+STAGING_LOGIN_DAYS = _schema("user_id string, first_day date, days bigint")
+
 CDC_TABLES = ("users", "products", "orders", "order_items")
 
 # Marts hold a few rows per day however large the input is, so they are sorted by date rather than split by it.
@@ -137,6 +140,7 @@ LAYERS = {
         "order_items": (STAGING_ORDER_ITEMS, "created_date", ("order_id",)),
         "users": (STAGING_USERS, None, ("user_id",)),
         "user_events": (STAGING_USER_EVENTS, "event_date", ("event_type", "user_id")),
+        "login_days": (STAGING_LOGIN_DAYS, None, ("user_id",)),
     },
     "mart": {
         "daily_sales": (MART_DAILY_SALES, None, ("order_date",)),
