@@ -148,6 +148,17 @@ QUERIES = [
         json_extract_string(properties, '$.product_id') AS product_id,
         json_extract_string(properties, '$.search_query') AS search_query FROM ok""",
     ),
+    Query(
+        "without_key",
+        lambda sp, sf: c.without_key(
+            reduce(DataFrame.unionByName, [t.changes(sp, sf, n) for n in LOGS]), "product_id"
+        ).select("cdc_table", "cdc_operation", "cdc_timestamp", "raw_payload"),
+        " UNION ALL ".join(
+            f"""SELECT cdc_table, cdc_operation, cdc_timestamp, raw_payload FROM cdc_{n} WHERE
+            json_extract_string(after_data, '$.product_id') IS NULL AND json_extract_string(before_data, '$.product_id') IS NULL"""
+            for n in LOGS
+        ),
+    ),
     Query(
         "document_drift",
         lambda sp, sf: c.document_drift(

@@ -118,12 +118,14 @@ _CHANGE_ROWS = """SELECT cdc_table, cdc_operation, cdc_timestamp, before_data IS
 
 
 def _topic_route(spark, sf):
-    topics = [
-        t.change_messages(spark, sf, n).select(F.lit(f"cdc.ecommerce.public.{n}").alias("topic")) for n in TABLES
-    ]
-    return sources.cdc_topic_route(reduce(DataFrame.unionByName, topics)).groupBy("topic").agg(
-        F.count(F.lit(1)).alias("messages")
+    """Change messages under the connector's topic of the table each of them names, and event messages, which keep theirs."""
+    table = F.get_json_object("value", "$.source.table")
+    logs = reduce(DataFrame.unionByName, [t.change_messages(spark, sf, n) for n in TABLES])
+    messages = logs.withColumn("topic", F.concat(F.lit("cdc.ecommerce.public."), table)).unionByName(
+        t.raw_messages(spark, sf).select("value", F.lit("events.raw").alias("topic"))
     )
+    routed = sources.cdc_topic_route(messages).select("topic", table.alias("table_name"), F.octet_length("value").alias("n"))
+    return routed.groupBy("topic", "table_name").agg(F.count(F.lit(1)).alias("messages"), F.sum("n").alias("message_bytes"))
 
 
 def _events_file(spark, sf):
@@ -361,7 +363,14 @@ QUERIES = [
     Query(
         "cdc_topic_route",
         _topic_route,
-        " UNION ALL ".join(f"SELECT 'cdc.{n}' AS topic, count(*) AS messages FROM v_{n}" for n in TABLES),
+        " UNION ALL ".join(
+            f"SELECT {topic} AS topic, {table} AS table_name, count(*) AS messages, sum(strlen(value)) AS message_bytes FROM {source}"
+            for topic, table, source in [
+                *[(f"'cdc.{n}'", f"'{n}'", f"msg_{n}") for n in TABLES],
+                ("'events.raw'", "CAST(NULL AS VARCHAR)", "raw_messages"),
+            ]
+        ),
+        ints="message_bytes",
     ),
     Query(
         "source_table",

@@ -363,6 +363,16 @@ QUERIES = [
         """SELECT transaction_id, count(*) AS cnt FROM stg_transactions WHERE transaction_status = 'COMPLETED'
         GROUP BY 1 HAVING count(*) > 1""",
     ),
+    Query(
+        # the same test in front of the de-duplication by transaction
+        "test_unique_transaction_delivered",
+        lambda sp, sf: p.check_unique_transaction(
+            staged(sp, sf).filter(F.col("event_name") == p.SUCCESS)
+            .select("properties.transaction_id", F.lit("COMPLETED").alias("transaction_status"))
+        ),
+        """SELECT transaction_id, count(*) AS cnt FROM stg_events WHERE event_name = 'payment.complete.payment_success'
+        GROUP BY 1 HAVING count(*) > 1""",
+    ),
     Query(
         "test_revenue_not_negative",
         lambda sp, sf: p.check_revenue_not_negative(p.mart_revenue(transactions(sp, sf))),
