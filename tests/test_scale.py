@@ -38,3 +38,27 @@ def test_event_batches_are_not_held(spark, tmp_path, monkeypatch):
     jobs.ingest_events(source, f"{tmp_path}/out", f"{tmp_path}/dead", f"{tmp_path}/check").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
     assert [r.raw_data for r in spark.read.parquet(f"{tmp_path}/dead").collect()] == ["broken"]
+
+
+def test_change_tables_are_stored_small(spark, tmp_path):
+    text = ",".join(f'"member{i}":"value"' for i in range(50))
+    rows = spark.range(500).selectExpr(
+        "'orders' cdc_table", "'INSERT' cdc_operation", "timestamp'2024-01-01' cdc_timestamp",
+        f"concat('{{\"id\":', id, ',{text}}}') after_data", f"concat('{{\"id\":', id, ',{text}}}') raw_payload",
+    )
+    assert [tuple(r) for r in sinks.sink_cdc_fanout(rows, 0, f"{tmp_path}/cdc").collect()] == [("orders", 500)]
+    files = list(Path(f"{tmp_path}/cdc").rglob("*.parquet"))
+    assert files and all(".zstd." in f.name for f in files)
+    assert spark.read.parquet(f"{tmp_path}/cdc").select("after_data").distinct().count() == 500
+
+
+def test_drift_reads_a_form_once_and_counts_shapes(spark):
+    rows = spark.createDataFrame(
+        [("t", None, '{"a":1,"b":"x"}'), ("t", None, '{"a":2,"b":"y"}'), ("t", None, '{"a":"z"}'), ("t", None, None)],
+        "cdc_table string, before_data string, after_data string",
+    ).selectExpr("*", "timestamp'2024-01-01' cdc_timestamp")
+    drift = c.document_drift(rows, {"t": {"a": ("a", "bigint"), "c": ("c", "string")}})
+    found = {(r.member, r.problem, r.found_kinds, r.filled) for r in drift.collect()}
+    assert found == {("a", "retyped", "text,whole", 3), ("b", "new", "text", 2), ("c", "missing", None, 0)}
+    plan = drift._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
+    assert plan.count("schemaofvariant") <= 2  # one call, printed under two names
