@@ -210,8 +210,7 @@ _TAKES = {
 }
 
 
-def _kind(value: Column) -> Column:
-    name = F.schema_of_variant(value)
+def _kind(name: Column) -> Column:
     numbers = (name == "DOUBLE") | (name == "FLOAT") | name.startswith("DECIMAL")
     return (
         F.when(name == "BIGINT", "whole")
@@ -230,9 +229,9 @@ def document_drift(changes: DataFrame, declared: Mapping[str, Fields], unit: str
     hold the member. Documents are those after the change, or before it where there is none; one that is no JSON object
     has no members. Tables without a declaration, a null name among them, have new members only.
 
-    One scan. Each document is cut into its members and itself (a null member), all counted by hash aggregation in front
-    of the shuffle; what meets behind it has one row per table, date, member and form. The declared fields of a table
-    join as a literal at its count of documents.
+    One scan. Documents are counted by their shape (the members with their forms, once each) by hash aggregation in front of
+    the shuffle; a shape is then cut into its members and itself (a null member), and what meets behind it has one row per
+    table, date, member and form. The declared fields of a table join as a literal at its count of documents.
     """
     entry = "array<struct<member string, declared string, kind string, n bigint>>"
     nothing, none = F.lit(None).cast("string"), F.array().cast(entry)
@@ -242,16 +241,25 @@ def document_drift(changes: DataFrame, declared: Mapping[str, Fields], unit: str
         fields += [F.lit(table), F.array(*named).cast(entry)]
     wanted = F.coalesce(F.element_at(F.create_map(*fields), F.col("cdc_table")), none) if fields else none
     members = F.from_json(F.coalesce("after_data", "before_data"), "map<string,variant>")
-    seen = F.transform(
+    # two steps: a form is derived from a name that is read off the value once
+    named = F.transform(
         F.coalesce(F.map_entries(members), F.array()),
-        lambda e: F.struct(e["key"].alias("member"), _kind(e["value"]).alias("kind"), F.lit(True).alias("inside")),
+        lambda e: F.struct(e["key"].alias("member"), F.schema_of_variant(e["value"]).alias("name")),
+    )
+    seen = F.transform(
+        named, lambda e: F.struct(e["member"].alias("member"), _kind(e["name"]).alias("kind"), F.lit(True).alias("inside"))
     )
     itself = F.struct(nothing.alias("member"), nothing.alias("kind"), F.lit(False).alias("inside"))
     date = F.to_date(F.date_trunc(unit, "cdc_timestamp")).alias("cdc_date")
+    shapes = (
+        changes.select("cdc_table", date, seen.alias("_shape"))
+        .groupBy("cdc_table", "cdc_date", "_shape")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     counted = (
-        changes.select("cdc_table", date, F.inline(F.concat(seen, F.array(itself))))
+        shapes.select("cdc_table", "cdc_date", "_n", F.inline(F.concat("_shape", F.array(itself))))
         .groupBy("cdc_table", "cdc_date", "member", "kind", "inside")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_n").alias("n"))
     )
     found = F.array(F.struct("member", nothing, "kind", "n")).cast(entry)
     merged = (
