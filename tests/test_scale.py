@@ -6,6 +6,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 
 from tidemill.operators import changes as c
+from tidemill.plans import flow_queries
 from tidemill.streaming import jobs, sinks, sources
 
 
@@ -62,3 +63,17 @@ def test_drift_reads_a_form_once_and_counts_shapes(spark):
     assert found == {("a", "retyped", "text,whole", 3), ("b", "new", "text", 2), ("c", "missing", None, 0)}
     plan = drift._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
     assert plan.count("schemaofvariant") <= 2  # one call, printed under two names
+
+
+def test_session_messages_are_written_by_every_task(spark, tmp_path, monkeypatch):
+    events = spark.range(0, 4000, 1, 4).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 30 AS int)) AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "cast(id AS double) AS value", """'{"k": ' || (id % 80) || '}' AS props""",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(flow_queries, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    found = flow_queries._session_messages(spark, str(tmp_path)).agg({"event_count": "sum"}).first()[0]
+    assert found == sum(i % 30 != 29 for i in range(4000))  # the windows of the last day are open
+    for part in range(3):
+        files = (tmp_path / "session-messages" / "in" / f"part={part}").glob("*.txt")
+        assert sum(f.stat().st_size > 0 for f in files) > 1
