@@ -4,6 +4,8 @@ import re
 import pytest
 
 from tests.llm.fixtures import frame, odd_rows, rows_of, sentence, with_clashes
+from tidemill.llm import components as parts
+from tidemill.llm.common import written
 from tidemill.llm.ngram_join import ngram_components
 
 
@@ -65,3 +67,22 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert ngram_components(frame(spark, [])).count() == 0
+
+
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(parts, "written", lambda df, purpose: stored.append(purpose) or written(df, purpose))
+
+    def found(links):
+        stored.clear()
+        rows = parts.components(spark.createDataFrame(links, "u bigint, v bigint")).collect()
+        assert len(rows) == len(set(rows))
+        return {r.node: r.root for r in rows}
+
+    assert found([(1, 2), (3, 1), (7, 5), (1, 3)]) == {1: 1, 2: 1, 3: 1, 5: 5, 7: 5}
+    assert stored == ["links"]
+    assert found([]) == {} and stored == ["links"]
+    assert set(found([(i, i + 1) for i in range(40)] + [(60, 50), (60, 55)]).items()) == {
+        *((i, 0) for i in range(41)), (50, 50), (55, 50), (60, 50)
+    }
+    assert len(stored) > 1

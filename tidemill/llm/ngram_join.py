@@ -297,8 +297,10 @@ def _link_large(sets: DataFrame, percent: int, block_rows: int, block_shingles:
         near = F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band")
         asked = asked.select("root", "node", "shingles", near).join(every_block, ["root", "band"])
         columns = ["root", "block", "is_query", "node", "shingles"]
+        visited = written(asked.select("root", "block").distinct(), "join-visited")
         work = asked.withColumn("is_query", F.lit(True)).select(*columns)
-        work = work.unionByName(dealt.withColumn("is_query", F.lit(False)).select(*columns))
+        others = dealt.join(side(visited, 24), ["root", "block"], "left_semi")
+        work = work.unionByName(others.withColumn("is_query", F.lit(False)).select(*columns))
         work = work.repartition("root", "block").sortWithinPartitions("root", "block", "is_query")
         work = work.withColumn("block", F.to_json("block"))
         found = written(work.mapInArrow(_search_blocks(percent), "u bigint, v bigint"), "join-links")
@@ -398,7 +400,10 @@ def ngram_components(
         found = written(sets.mapInArrow(_search_groups(percent), "u bigint, v bigint"), "join-found")
         if totals.filter("NOT small").limit(1).count():
             large = of_nodes(wanted.filter("NOT small").drop("small")).mapInArrow(full, shipped)
-            large = written(large.dropDuplicates(["node"]), "join-large")
+            large = written(large, "join-large")
+            # Rows that repeat a doc_id and a text bring the same set more than once.
+            if large.select("node").distinct().count() < large.count():
+                large = written(large.dropDuplicates(["node"]), "join-large")
             found = found.unionByName(_link_large(large, percent, block_rows, block_shingles, first_queries))
         return found
 
@@ -418,7 +423,9 @@ def ngram_components(
         rest = written(rest.join(able.filter(F.col("_times") >= at_least).select("node"), "node", "left_semi"), "join-rest")
     ties = _tied(rest, percent).filter("u != node").select("u", F.col("node").alias("v")).distinct()
     more = links_of(ties, labels)
-    found = written(components(found.unionByName(more)), "join-links")
+    # what the first search linked is known as stars by now
+    known = labels.filter("node != label").select(F.col("node").alias("u"), F.col("label").alias("v"))
+    found = written(components(known.unionByName(more)), "join-links")
     ids = nodes.select("node", "least_id")
     linked = found.join(ids, "node")
     least = linked.groupBy("root").agg(F.min("least_id").alias("component"))
