@@ -220,3 +220,19 @@ def test_toxicity_words_by_plain_loops():
     found = alone("straßenbahnhaltestelle")[:, 1:]
     grams = {w[i : i + n] for w in ["straßenbahnhaltestelle"] for n in toxicity.GRAMS for i in range(len(w) - n + 1)}
     assert len(set(found[found != 0].tolist())) == len(grams)
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    names = ["".join(chr(97 + (i // 26**k) % 26) for k in range(4)) + "ox" for i in range(300)]
+    rows = [(i, f"{names[i % 300]} was seen", "en", 0) for i in range(3600)]
+    rows += [(i, f"{names[i % 300]} so vile it is", "en", 1) for i in range(3600, 3900)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, toxic int").repartition(4)
+    docs, labels = table.drop("toxic"), table.select("doc_id", "toxic")
+    body = " ".join(names).encode()
+    slots = (toxicity.word_hashes(np.frombuffer(body, np.uint8), np.array([0, len(body)]))[0][:300, 0] >> np.uint64(44)).astype(int)
+    for model in (toxicity.fit(docs, labels), toxicity.fit(docs, labels, task_rows=100)):
+        assert model.known[slots].mean() > 0.9  # a word is in 13 rows; in a sample of 1,000 rows a class it is in 3
+        texts = [b"aaaa was seen", b"aaaa so vile it is"]
+        hashes, first, end = toxicity.word_hashes(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+        clean, toxic = model.logits(hashes, first, end)
+        assert clean < 0 < toxic

@@ -1,12 +1,14 @@
 """Toxicity scores by a convolutional text classifier.
 
 A word and its n-grams of code points, at all places, are hashed to rows of an embedding table, whose sum stands for the
-word; forms seen in fewer than ``SEEN_IN`` texts of the sample stand for nothing, so that no single text is learned by heart.
+word; forms seen in fewer than ``SEEN_IN`` texts learned from stand for nothing, so that no single text is learned by heart.
 Long words are several overlapping pieces, letters of scripts without blanks are words of their own, so every part of a text
 reaches the filters. Filters of several widths slide over the words, each keeps its highest answer over the whole text, and
-a logistic layer reads these. Training (Adam, in numpy) runs in one task on a bounded
-sample: ``rows_per_class`` labelled rows of either class with the smallest id hash, read whole. A fifth of the sample is
-set aside to calibrate: the logit is shifted so that 0.5 is the best cut under the true share of labels, and each
+a logistic layer reads these. Training (Adam, in numpy) reads every labelled row, whole, in tasks that Spark deals out: in
+each of ``EPOCHS`` rounds all tasks start from one model, learn from rows of their own, and what they changed is averaged (an
+embedding row over the tasks that met it). A task goes through its rows ``EPOCHS`` times if they are few, and at least
+``PASSES`` times: a round takes the next of some shares of them. A fifth of all labelled rows is
+set aside to calibrate, counted by language in steps of the logit: it is shifted so that 0.5 is the best cut, and each
 language gets a threshold of its own (``flagged``), shrunk to 0.5 where it has few rows. The language never enters a
 score. Scoring is a map over the scan; the model (a few MB, fixed size) is broadcast.
 
@@ -17,18 +19,19 @@ score alike; only doc_id, text and lang of the documents are read.
 
 from __future__ import annotations
 
-import pickle
+import copy
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import _BASE, Spans, _powers, blocks, bounded_sample, documents, held_out, mix64, text_bytes
+from tidemill.llm.common import _BASE, Spans, _powers, blocks, documents, held_out, mix64, side, text_bytes, text_or_empty, written
 
 BITS = 15
 DIM = 12
@@ -37,11 +40,13 @@ WIDTHS = (1, 2, 3)
 PIECE = 8
 GRAMS = (3, 4)
 SEEN_IN = 4
-ROWS_PER_CLASS = 1000
+TASK_ROWS = 1600
 EPOCHS = 8
+PASSES = 2
 BATCH = 32
 RATE = 0.01
 DECAY = 1e-5
+STEP = 1 / 64
 
 _PAD = 1 << BITS
 _GAP = max(WIDTHS)
@@ -49,6 +54,7 @@ _STEP = PIECE - max(GRAMS) + 1  # pieces of a long word overlap, so that every n
 COLUMNS = 1 + sum(PIECE - n + 1 for n in GRAMS)
 _SLOTS = 44
 _PLANE = 1 << 16
+_BLOCKS = 64
 # Scripts written without blanks, by Unicode block: a letter of theirs is a word of its own.
 _UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF))
 
@@ -190,30 +196,37 @@ def seen_slots(texts: list[np.ndarray], least: int = SEEN_IN) -> np.ndarray:
     return counts >= least
 
 
-def train(hashed: list[tuple[np.ndarray, int]], seed: int = 3) -> Model:
-    """hashed: (word hashes without pads, label)."""
-    rng = np.random.default_rng(seed)
+def _start(known: np.ndarray, rng: np.random.Generator) -> Model:
     m = Model(
         rng.normal(0, 0.1, (_PAD + 1, DIM)).astype(np.float32),
-        seen_slots([h for h, _ in hashed]),
+        known,
         [rng.normal(0, 0.4 / np.sqrt(w), (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
         np.zeros(FILTERS * len(WIDTHS), np.float32),
         rng.normal(0, 0.3, FILTERS * len(WIDTHS) + 1).astype(np.float32),
     )
-    texts = [(m.buckets(h), y) for h, y in hashed]
     m.table[_PAD] = 0
-    params = [m.table, *m.filters, m.bias, m.out]
-    means, squares, step = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params], 0
-    labels = np.array([y for _, y in texts], np.float32)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(texts))
+    return m
+
+
+class Learner:
+    """Adam on the parameters of a model, which it changes in place."""
+
+    def __init__(self, m: Model, rng: np.random.Generator):
+        self.m, self.rng, self.step = m, rng, 0
+        self.params = [m.table, *m.filters, m.bias, m.out]
+        self.means, self.squares = [np.zeros_like(x) for x in self.params], [np.zeros_like(x) for x in self.params]
+
+    def epoch(self, texts: list[np.ndarray], labels: np.ndarray) -> None:
+        """texts: the buckets of every text."""
+        m = self.m
+        order = self.rng.permutation(len(texts))
         for a in range(0, len(order), BATCH):
             chosen = order[a : a + BATCH]
-            counts = np.array([len(texts[i][0]) for i in chosen])
+            counts = np.array([len(texts[i]) for i in chosen])
             words = np.full((int((counts + _GAP).sum()), COLUMNS), _PAD, np.int64)
             first = np.cumsum(counts + _GAP) - (counts + _GAP)
             for i, start in zip(chosen, first):
-                words[start : start + len(texts[i][0])] = texts[i][0]
+                words[start : start + len(texts[i])] = texts[i]
             reach = m.answers(words)
             at = np.stack([s + reach[s : s + max(c, 1)].argmax(axis=0) for s, c in zip(first, counts)])
             peaks = np.take_along_axis(reach, at, axis=0) + m.bias
@@ -233,11 +246,20 @@ def train(hashed: list[tuple[np.ndarray, int]], seed: int = 3) -> Model:
                 grads.append(grad)
             grads[0][_PAD] = 0
             grads += [back.sum(axis=0), np.concatenate([hidden.T @ error, [error.sum()]]).astype(np.float32)]
-            step += 1
-            for x, g, mean, square in zip(params, grads, means, squares):
+            self.step += 1
+            for x, g, mean, square in zip(self.params, grads, self.means, self.squares):
                 mean += 0.1 * (g - mean)
                 square += 0.01 * (g * g - square)
-                x -= RATE * ((mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8) + DECAY * x)
+                x -= RATE * ((mean / (1 - 0.9**self.step)) / (np.sqrt(square / (1 - 0.99**self.step)) + 1e-8) + DECAY * x)
+
+
+def train(hashed: list[tuple[np.ndarray, int]], seed: int = 3) -> Model:
+    """hashed: (word hashes without pads, label)."""
+    rng = np.random.default_rng(seed)
+    m = _start(seen_slots([h for h, _ in hashed]), rng)
+    texts, learner = [m.buckets(h) for h, _ in hashed], Learner(m, rng)
+    for _ in range(EPOCHS):
+        learner.epoch(texts, np.array([y for _, y in hashed], np.float32))
     return m
 
 
@@ -251,63 +273,134 @@ def _best_cut(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> fl
     return float(places[best[len(best) // 2]])
 
 
-def calibrate(m: Model, logits: np.ndarray, labels: np.ndarray, langs: list, share: float) -> None:
-    """Shift so that 0.5 is the best cut at the given share of toxic rows; thresholds by language around it."""
-    toxic = max(labels.mean(), 1e-9)
-    weights = np.where(labels == 1, share / toxic, (1 - share) / max(1 - toxic, 1e-9))
-    m.shift = -_best_cut(logits, labels, weights)
+def calibrate(m: Model, logits: np.ndarray, labels: np.ndarray, langs: list, counts: np.ndarray) -> None:
+    """Shift so that 0.5 is the best cut of the counted rows; thresholds by language around it."""
+    m.shift = -_best_cut(logits, labels, counts)
     for lang in sorted({x for x in langs if x is not None}):
         own = np.array([x == lang for x in langs])
-        if 0 < labels[own].sum() < own.sum():
-            cut = _best_cut(logits[own] + m.shift, labels[own], weights[own])
-            m.thresholds[lang] = float(_sigmoid(np.array(cut * own.sum() / (own.sum() + 100.0))))
+        rows = counts[own].sum()
+        if 0 < (counts[own] * labels[own]).sum() < rows:
+            cut = _best_cut(logits[own] + m.shift, labels[own], counts[own])
+            m.thresholds[lang] = float(_sigmoid(np.array(cut * rows / (rows + 100.0))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    totals = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chosen = bounded_sample(marks, "toxic", rows_per_class)
-    chosen = F.broadcast(chosen.select("doc_id", "toxic"))  # rows_per_class rows of two classes at most
-    sample = docs.select("doc_id", "text", "lang").join(chosen, "doc_id")
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Blocks of rows with the word hashes of each text, without pads."""
+    for block in blocks(batches):
+        words, first, _ = word_hashes(*text_bytes(block.column("text")))
+        yield block, [words[a:b] for a, b in zip(first, np.concatenate([first[1:], [len(words)]]) - _GAP)]
+
+
+def _in_blocks(vector: np.ndarray) -> pa.RecordBatch:
+    parts = [x.astype(np.float32).tobytes() for x in np.array_split(vector, _BLOCKS)]
+    columns = [pa.array(range(_BLOCKS), pa.int32()), pa.array([TaskContext.get().partitionId()] * _BLOCKS, pa.int32())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())], names=["block", "task", "vector"])
+
+
+def _sum(vectors: DataFrame) -> np.ndarray | None:
+    """The sum of what all tasks made by ``_in_blocks``: one vector, of fixed size."""
+
+    def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        total = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in table.column("vector").to_pylist())
+        return pa.table({"block": table.column("block")[:1], "vector": pa.array([total.tobytes()], pa.binary())})
+
+    found = vectors.groupBy("block").applyInArrow(add, "block int, vector binary").collect()
+    return np.concatenate([np.frombuffer(r.vector) for r in sorted(found)]) if found else None
+
+
+_VECTOR = "block int, task int, vector binary"
+
+
+def _known(rows: DataFrame) -> np.ndarray:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << (64 - _SLOTS), np.int32)
+        for _, texts in _hashed(batches):
+            for hashes in texts:
+                counts[np.unique(hashes[hashes != 0] >> np.uint64(_SLOTS)).astype(np.int64)] += 1
+        yield _in_blocks(np.minimum(counts, SEEN_IN))
+
+    return _sum(rows.select("text").mapInArrow(count, _VECTOR)) >= SEEN_IN
+
+
+def _round(rows: DataFrame, m: Model, number: int) -> None:
+    """One round: tasks learn from ``rows`` apart, the model takes the mean of their changes."""
+    start = rows.sparkSession.sparkContext.broadcast(m)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for block in blocks(batches):
-            words, first, _ = word_hashes(*text_bytes(block.column("text")))
-            ends = np.concatenate([first[1:], [len(words)]]) - _GAP
-            ids, marked, langs = (block.column(c).to_pylist() for c in ("doc_id", "toxic", "lang"))
-            rows += [(i, words[a:b], y, lang) for i, a, b, y, lang in zip(ids, first, ends, marked, langs)]
-        rows.sort(key=lambda r: (r[0], len(r[1])))
-        aside = np.arange(len(rows)) % 5 == 4
-        if len({r[2] for r in rows}) < 2:
-            model = _constant(float(rows[0][2]) if rows else 0.0)
-        else:
-            kept = [(w, y) for (_, w, y, _), out in zip(rows, aside) if not out]
-            both = len({y for _, y in kept}) == 2
-            model = train(kept if both else [(w, y) for _, w, y, _ in rows])
-            held = [r for r, out in zip(rows, aside) if out]
-            if both and len({r[2] for r in held}) == 2:
-                z = np.array([_one(model, w) for _, w, _, _ in held])
-                share = totals[1] / (totals[0] + totals[1])
-                calibrate(model, z, np.array([r[2] for r in held]), [r[3] for r in held], share)
-        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
-
-    # One task learns; its input is bounded by rows_per_class.
-    blob = sample.repartition(1).mapInArrow(learn, "model binary").collect()
-    return pickle.loads(blob[0].model) if blob else _constant(0.0)
-
-
-def _one(model: Model, words: np.ndarray) -> float:
-    padded = np.concatenate([words, np.zeros((_GAP, COLUMNS), np.uint64)])
-    return float(model.logits(padded, np.array([0]), np.array([max(len(words), 1)]))[0])
+        old = start.value
+        learner = Learner(copy.deepcopy(old), np.random.default_rng(number))
+        for block, texts in _hashed(batches):
+            learner.epoch([old.buckets(h) for h in texts], block.column("toxic").to_numpy().astype(np.float32))
+        if learner.step:
+            before = Learner(old, learner.rng).params
+            changes = [(new - x).reshape(-1) for new, x in zip(learner.params, before)]
+            met = (learner.squares[0] > 0).any(axis=1)
+            changes[0] = ((learner.params[0] - before[0]) * met[:, None]).reshape(-1)
+            yield _in_blocks(np.concatenate([*changes, met, [1.0]]))
+
+    found = _sum(rows.select("text", "toxic").mapInArrow(learn, _VECTOR))
+    start.unpersist()
+    if found is None:
+        return
+    tasks, met = found[-1], found[-_PAD - 2 : -1]
+    at = 0
+    for x in (m.table, *m.filters, m.bias, m.out):
+        change = found[at : at + x.size].reshape(x.shape)
+        x += (change / (np.maximum(met, 1)[:, None] if x is m.table else tasks)).astype(np.float32)
+        at += x.size
+
+
+def fit(docs: DataFrame, labels: DataFrame, task_rows: int = TASK_ROWS) -> Model:
+    marks = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    marks = written(marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), "toxic-labels")
+    part = F.pmod(F.xxhash64("doc_id", text_or_empty()), F.lit(1 << 20)).cast("int").alias("part")
+    rows = docs.select("doc_id", "text", "lang").join(side(marks, 16), "doc_id")
+    rows = written(rows.select("text", "lang", "toxic", part), "toxic-rows")
+    aside = F.pmod("part", F.lit(5)) == 4
+    totals = rows.groupBy(aside.alias("aside"), "toxic").agg(F.count("*").alias("n")).collect()
+    classes = {r.toxic for r in totals}
+    if len(classes) < 2:
+        return _constant(float(classes.pop()) if classes else 0.0)
+    both = len({r.toxic for r in totals if not r.aside}) == 2
+    learned = rows.filter(~aside) if both else rows
+    n = sum(r.n for r in totals if not (both and r.aside))
+    # no more tasks than have rows enough for several rounds: of many rows each is learned from PASSES times
+    tasks = max(1, min(rows.rdd.getNumPartitions(), n * PASSES // (task_rows * EPOCHS)))
+    shares = max(1, min(EPOCHS // PASSES, n // (tasks * task_rows)))
+    learned = learned.coalesce(tasks)
+    m = _start(_known(learned), np.random.default_rng(3))
+    for number in range(EPOCHS):
+        _round(learned.filter(F.pmod(F.floor(F.col("part") / 5), F.lit(shares)) == number % shares), m, number)
+    if both and len({r.toxic for r in totals if r.aside}) == 2:
+        _calibrate_on(rows.filter(aside), m)
+    return m
+
+
+def _calibrate_on(rows: DataFrame, m: Model) -> None:
+    """``calibrate`` by the number of rows of each language (they are few), label and step of the logit."""
+    model = rows.sparkSession.sparkContext.broadcast(m)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, limit=1 << 18):
+            z = model.value.logits(*word_hashes(*text_bytes(block.column("text"))))
+            steps = pa.array(np.floor(np.clip(z, -50, 50) / STEP).astype(np.int32))
+            arrays = [block.column("lang"), block.column("toxic"), steps]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "toxic", "step"])
+
+    scored = rows.select("text", "lang", "toxic").mapInArrow(score, "lang string, toxic int, step int")
+    found = sorted(scored.groupBy("lang", "toxic", "step").agg(F.count("*").alias("n")).collect(), key=str)
+    model.unpersist()
+    logits = np.array([(r.step + 0.5) * STEP for r in found])
+    labels, counts = np.array([r.toxic for r in found]), np.array([float(r.n) for r in found])
+    calibrate(m, logits, labels, [r.lang for r in found], counts)
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ("doc_id",), rows_per_class: int = ROWS_PER_CLASS
+    docs: DataFrame, labels: DataFrame, carry: tuple[str, ...] = ("doc_id",), task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """The ``carry`` columns of every row with ``score`` and ``flagged`` (score against its language's threshold)."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows_per_class))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, task_rows))
     rows = docs.select(*carry, F.col("lang").alias("_lang"), F.col("text").alias("_text"))
     added = [T.StructField("score", T.DoubleType()), T.StructField("flagged", T.BooleanType())]
     out = T.StructType([*docs.select(*carry).schema.fields, *added])
