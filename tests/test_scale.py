@@ -1,12 +1,15 @@
 """What keeps jobs within memory and time on large tables."""
 
 import json
+import threading
 from pathlib import Path
 
+import pytest
 from pyspark.sql import DataFrame
 
 from tidemill.operators import changes as c
-from tidemill.plans import flow_queries
+from tidemill.plans import daily, flow_queries
+from tidemill.plans.lake import Lake
 from tidemill.streaming import jobs, sinks, sources
 
 
@@ -77,3 +80,57 @@ def test_session_messages_are_written_by_every_task(spark, tmp_path, monkeypatch
     for part in range(3):
         files = (tmp_path / "session-messages" / "in" / f"part={part}").glob("*.txt")
         assert sum(f.stat().st_size > 0 for f in files) > 1
+
+
+def _shop_inputs(spark):
+    def log(table, docs):
+        rows = [(table, "INSERT", doc) for doc in docs]
+        stamped = spark.createDataFrame(rows, "cdc_table string, cdc_operation string, after_data string")
+        return stamped.selectExpr(
+            "*", "cast(null as string) before_data", "timestamp'2024-01-01' cdc_timestamp", "timestamp'2024-01-01' ingested_at"
+        )
+
+    orders = ['{"order_id":1,"user_id":5,"total_amount":10.0,"ordered_at":"2024-01-01T00:00:00Z"}'] * 2
+    items = [f'{{"item_id":{i},"order_id":1,"product_id":7,"quantity":2}}' for i in (1, 2)]
+    events = spark.createDataFrame([("e", "search", "s")], "event_id string, event_type string, session_id string").selectExpr(
+        "*", "timestamp'2024-01-01' event_timestamp", "5L user_id", "'ios' device_type",
+        *[f"cast(null as string) {n}" for n in ("page_url", "referrer", "utm_source", "utm_medium", "utm_campaign", "properties")],
+        "timestamp'2024-01-01' ingested_at",
+    )
+    logs = [log("orders", orders), log("products", ['{"product_id":7}']), log("order_items", items), log("users", ['{"user_id":5}'])]
+    return [*logs, events]
+
+
+def test_staging_tables_are_built_side_by_side(spark, tmp_path, monkeypatch):
+    meeting, store = threading.Barrier(5), Lake.store
+
+    def together(self, df, layer, name):
+        if layer == "staging":
+            meeting.wait(30)  # breaks if the five tables are stored one after another
+        return store(self, df, layer, name)
+
+    monkeypatch.setattr(Lake, "store", together)
+    lake = Lake(spark, str(tmp_path))
+    log = daily.run_batch(lake, *_shop_inputs(spark))
+    names = ["orders", "products", "order_items", "users", "user_events", "daily_sales", "daily_funnel"]
+    assert [(e[1], e[2], e[3]) for e in log.entries] == [(n, "success", 2 if n == "order_items" else 1) for n in names]
+    sold = lake.read("mart", "daily_sales").collect()
+    assert [(r.order_count, r.total_revenue, r.total_items_sold) for r in sold] == [(1, 20.0, 4)]
+    assert lake.read("monitoring", "run_log").count() == 7
+
+
+def test_a_failed_table_stops_the_marts_and_is_logged(spark, tmp_path, monkeypatch):
+    store = Lake.store
+
+    def fails(self, df, layer, name):
+        if name in ("products", "users"):
+            raise ConnectionError(name)
+        return store(self, df, layer, name)
+
+    monkeypatch.setattr(Lake, "store", fails)
+    lake = Lake(spark, str(tmp_path))
+    with pytest.raises(ConnectionError, match="products"):
+        daily.run_batch(lake, *_shop_inputs(spark))
+    status = {r.table_name: r.status for r in lake.read("monitoring", "run_log").collect()}
+    assert status == {n: "error" if n in ("products", "users") else "success" for n in ("orders", "products", "order_items", "users", "user_events")}
+    assert not lake.exists("mart", "daily_sales")
