@@ -1,5 +1,6 @@
 """What keeps jobs within memory and time on large tables."""
 
+import gzip
 import json
 import threading
 from pathlib import Path
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from tidemill.operators import changes as c
 from tidemill.plans import daily, flow_queries
 from tidemill.plans.lake import Lake
+from tidemill.sources import driver_tables as t
 from tidemill.streaming import jobs, sinks, sources
 
 
@@ -134,3 +136,47 @@ def test_a_failed_table_stops_the_marts_and_is_logged(spark, tmp_path, monkeypat
     status = {r.table_name: r.status for r in lake.read("monitoring", "run_log").collect()}
     assert status == {n: "error" if n in ("products", "users") else "success" for n in ("orders", "products", "order_items", "users", "user_events")}
     assert not lake.exists("mart", "daily_sales")
+
+
+def _given_tables(spark, root):
+    n = spark.range(0, 600, 1, 2)
+    n.selectExpr(
+        "id AS o_orderkey", "id % 40 AS o_custkey", "substr('FOP', cast(id % 3 AS int) + 1, 1) AS o_orderstatus",
+        "cast(id * 100.5 AS double) AS o_totalprice", "timestamp'1995-06-01' + make_interval(0, 0, 0, cast(id % 400 AS int)) AS o_orderdate",
+        "CASE WHEN id % 2 = 0 THEN '5-LOW' ELSE '2-HIGH' END AS o_orderpriority",
+    ).write.parquet(f"{root}/orders.parquet")
+    n.selectExpr(
+        "id % 500 AS l_orderkey", "id % 30 AS l_partkey", "cast(id % 7 AS int) AS l_linenumber", "cast(id % 9 + 1 AS double) AS l_quantity",
+        "cast(id * 10.25 AS double) AS l_extendedprice", "timestamp'1995-07-01' + make_interval(0, 0, 0, cast(id % 400 AS int)) AS l_shipdate",
+    ).write.parquet(f"{root}/lineitem.parquet")
+    n.limit(30).selectExpr(
+        "id AS p_partkey", "'part ' || id AS p_name", "'Brand#' || (id % 4) AS p_brand", "'T' || (id % 3) AS p_type",
+        "cast(id + 1 AS int) AS p_size", "cast(id + 0.5 AS double) AS p_retailprice",
+    ).write.parquet(f"{root}/part.parquet")
+    n.limit(40).selectExpr("id AS c_custkey", "'c' || id AS c_name", "'X' AS c_mktsegment").write.parquet(f"{root}/customer.parquet")
+    n.selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 30 AS int)) AS ts", "id % 50 AS user_id",
+        "'view' AS event_type", "cast(id AS double) AS value", """'{"k": ' || (id % 80) || '}' AS props""",
+    ).write.parquet(f"{root}/events.parquet")
+
+
+def test_change_messages_are_packed_into_short_files(spark, tmp_path, monkeypatch):
+    _given_tables(spark, tmp_path)
+    monkeypatch.setattr(flow_queries, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    monkeypatch.setattr(flow_queries, "_MESSAGES_PER_FILE", 100)
+    splits, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    start = jobs.cdc_microbatch
+
+    def started(messages, *args, **more):
+        splits.append(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        return start(messages, *args, **more)
+
+    monkeypatch.setattr(jobs, "cdc_microbatch", started)
+    found = sorted(map(str, flow_queries._source_cdc_stream(spark, str(tmp_path)).collect()))
+    logs = [flow_queries._change_rows(t.changes(spark, str(tmp_path), n)).collect() for n in flow_queries.TABLES]
+    assert found == sorted(str(row) for log in logs for row in log)
+    files = list((tmp_path / "cdc" / "files").glob("part-*"))
+    texts = [gzip.decompress(f.read_bytes()) for f in files]
+    assert all(0 < len(x.splitlines()) <= 100 for x in texts)  # a packed file cannot be split
+    assert sum(f.stat().st_size for f in files) * 4 < sum(map(len, texts))
+    assert splits == ["16m"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
