@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from tidemill.operators import changes as c
 from tidemill.plans import daily, flow_queries
+from tidemill.plans import lake as lake_module
 from tidemill.plans.lake import Lake
 from tidemill.sources import driver_tables as t
 from tidemill.streaming import jobs, sinks, sources
@@ -180,3 +181,63 @@ def test_change_messages_are_packed_into_short_files(spark, tmp_path, monkeypatc
     assert all(0 < len(x.splitlines()) <= 100 for x in texts)  # a packed file cannot be split
     assert sum(f.stat().st_size for f in files) * 4 < sum(map(len, texts))
     assert splits == ["16m"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_daily_batch_of_streams_leaves_no_passing_rows(spark, tmp_path, monkeypatch):
+    _given_tables(spark, tmp_path)
+    folders, left = [], []
+
+    def shared(spark, purpose):
+        folders.append(tmp_path / "shared" / f"{len(folders)}-{purpose}")
+        return str(folders[-1])
+
+    monkeypatch.setattr(flow_queries, "shared_folder", shared)
+    monkeypatch.setattr(lake_module, "shared_folder", shared)
+    run = daily.run_batch_from_streams
+
+    def taken(lake, *args):
+        left.append(sorted(p.name for n in ("changes", "events") for p in (folders[0] / n / "in").iterdir() if p.is_dir()))
+        return run(lake, *args)
+
+    monkeypatch.setattr(daily, "run_batch_from_streams", taken)
+    switch = next(iter(daily.DROP_SHUFFLES))
+    before = spark.conf.get(switch)
+    found = flow_queries._run_batch_streams(spark, str(tmp_path))
+    logs = [t.changes(spark, str(tmp_path), n) for n in flow_queries.TABLES]
+    whole = Lake(spark, f"{tmp_path}/whole", date_unit="month")
+    daily.run_batch(whole, *logs, t.user_events(spark, str(tmp_path)))
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.read("mart", "daily_sales").collect()))
+    assert left == [[], []]  # messages that both streams have confirmed
+    assert len(folders) > 10 and [f.name for f in folders if f.exists()] == [folders[0].name]
+    assert spark.conf.get(switch) == before
+    rows = {(r.table_name, r.rows_processed) for r in Lake(spark, str(folders[0])).read("monitoring", "run_log").collect()}
+    assert ("products", 30) in rows and ("users", 40) in rows
+
+
+def test_rows_put_aside_go_when_a_merge_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake_module, "shared_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    lake = Lake(spark, f"{tmp_path}/lake")
+    lake.bootstrap_layers()
+
+    def fails(*args):
+        raise ConnectionError("users")
+
+    monkeypatch.setattr(Lake, "ctas_replace", fails)
+    new = spark.createDataFrame([], lake.read("staging", "users").schema)
+    with pytest.raises(ConnectionError):
+        lake.merge(new, "staging", "users", ["user_id"], ["_cdc_timestamp"])
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["lake"]
+
+
+def test_shuffles_of_the_daily_job_go_with_their_step(spark, tmp_path, monkeypatch):
+    switches, aside = [], Lake._aside
+
+    def seen(self, df, folder):
+        switches.append(spark.conf.get(next(iter(daily.DROP_SHUFFLES))))
+        return aside(self, df, folder)
+
+    monkeypatch.setattr(Lake, "_aside", seen)
+    lake = Lake(spark, str(tmp_path))
+    lake.bootstrap_layers()
+    daily.run_batch_since(lake, *_shop_inputs(spark))
+    assert switches and set(switches) == {"true"}
